@@ -2,23 +2,78 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import ngram_join
+from tidemark.llm import cotraining, exact_topk, line_dedup, mixing, ngram_join, packing, quality_rules, secrets, sharding, token_counts
+
+#: Where the vocabulary files of public tokenizers are.
+TOKENIZERS = os.environ.get("TIDEMARK_TOKENIZERS", "/opt/tokenizers")
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(_read(spark, sf_dir, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model")
+
+
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(_read(spark, sf_dir, "documents"))
 
 
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(_read(spark, sf_dir, "documents"))
+
+
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_read(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
+
+
+def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_topk.top_k(_read(spark, sf_dir, "embeddings"), "id % 50 = 0")
+
+
+def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    size = F.col("_size").alias("size")
+    return mixing.mix(_read(spark, sf_dir, "documents")).select("doc_id", size, "source_size", "target", (F.col("copies") * F.col("_size")).alias("taken"))
+
+
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotraining.classify(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(_read(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_deleted")
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    scored = quality_rules.score(docs, quality_rules.fit_rules(docs, _read(spark, sf_dir, "labels")))
+    base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return scored.select("doc_id", *[f"counts.{c}" for c in base], "base_failed", "kept", "rule")
+
+
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    findings, _ = secrets.scan_versions(_read(spark, sf_dir, "documents"), ["doc_id"])
+    return secrets.digest(findings, ["doc_id"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_counts": op1_token_counts,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
+    "op3_sharding": op3_sharding,
+    "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_exact_topk": op5_exact_topk,
+    "op6_source_mixing": op6_source_mixing,
+    "op7_quality_classifier": op7_quality_classifier,
+    "op8_line_dedup": op8_line_dedup,
+    "op9_quality_rules": op9_quality_rules,
+    "op10_secret_scan": op10_secret_scan,
 }
 
 _WORDS = r"list_filter(regexp_split_to_array({}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
@@ -34,4 +89,11 @@ o AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both FROM s a JOIN s b ON
 links AS (SELECT x, y FROM o JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * o.both >= 75 * (p.n + q.n - o.both)),
 reach AS (SELECT doc_id AS d, doc_id AS r FROM documents UNION SELECT reach.d, links.y FROM reach JOIN links ON links.x = reach.r)
 SELECT d AS doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, min(r) AS component_id FROM reach LEFT JOIN n ON n.doc_id = d GROUP BY d""",
+    "op5_exact_topk": """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS c FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, x.vec_id, CAST(list_sum(list_transform(range(1, len(q.c) + 1), lambda i: q.c[i] * x.c[i])) AS BIGINT) AS score
+    FROM v q JOIN v x ON q.vec_id % 50 = 0 AND q.vec_id <> x.vec_id AND len(q.c) = len(x.c)),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
 }

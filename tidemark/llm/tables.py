@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: Rows up to which the narrow side of a join may be broadcast; beyond it the join shuffles.
 BROADCAST_ROWS = 500_000
+#: The same for tables of large values, in bytes.
+BROADCAST_BYTES = 48 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
