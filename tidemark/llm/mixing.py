@@ -15,6 +15,8 @@ from tidemark.llm.tables import join_checked, saved
 
 #: Weights of the sources in order of code point, null last, repeating.
 WEIGHTS = (3.0, 1.0, 2.0)
+#: Single rows that make up the end of a source's budget.
+EXTRAS = 2
 
 
 def n_words(text: str) -> Column:
@@ -56,8 +58,8 @@ def targets(sizes: DataFrame, weights: tuple[float, ...], share: float, most: fl
 def cuts(rows: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0) -> DataFrame:
     """For each source of ``rows`` (_id, _source, _size, _key): source_size, target, epochs, and two marks of rows.
 
-    ``cut``: rows up to it are taken once more than ``epochs``. ``extra``: the row not yet taken whose size is nearest to
-    what the budget still lacks, if that brings the sum nearer.
+    ``cut``: rows up to it are taken once more than ``epochs``. ``extras``: single rows after it that are, too, as they
+    bring the sum nearer to the target.
     """
     spark = rows.sparkSession
     buckets = max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -76,11 +78,17 @@ def cuts(rows: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1
     cut = saved(summed.groupBy("_source").agg(F.max(F.when(inside, F.col("mark"))).alias("cut"), F.coalesce(F.sum(F.when(inside, F.col("_size"))), F.lit(0)).alias("got")))
     cut = sources.join(cut.withColumnRenamed("_source", "s"), F.col("_source").eqNullSafe(F.col("s"))).drop("s").withColumn("gap", F.col("rest") - F.col("got"))
 
-    off = F.abs(F.col("_size") - F.col("gap"))
-    rest = join_checked(rows.select("_source", "_size", "mark"), saved(cut.select(F.col("_source").alias("s"), "cut", "gap")), F.col("_source").eqNullSafe(F.col("s")), "inner")
-    rest = rest.where((F.col("cut").isNull() | (F.col("mark") > F.col("cut"))) & (off < F.col("gap")))
-    extra = rest.groupBy("_source").agg(F.min(F.struct(off.alias("off"), "mark")).alias("one")).select(F.col("_source").alias("s"), F.col("one.mark").alias("extra"))
-    return saved(cut.join(extra, F.col("_source").eqNullSafe(F.col("s")), "left").select("_source", "source_size", "target", "epochs", "cut", "extra"))
+    # what the budget still lacks is made up by single rows, each the nearest in size to what is missing then
+    cut = saved(cut.withColumn("extras", F.array().cast(f"array<{rows.schema['mark'].dataType.simpleString()}>")))
+    for _ in range(EXTRAS):
+        off = F.abs(F.col("_size") - F.col("gap"))
+        rest = join_checked(rows.select("_source", "_size", "mark"), cut.select(F.col("_source").alias("s"), "cut", "gap", "extras"), F.col("_source").eqNullSafe(F.col("s")), "inner")
+        rest = rest.where((F.col("cut").isNull() | (F.col("mark") > F.col("cut"))) & (off < F.abs("gap")) & ~F.array_contains("extras", F.col("mark")))
+        one = rest.groupBy("_source").agg(F.min(F.struct(off.alias("off"), "mark")).alias("one")).select(F.col("_source").alias("s"), F.col("one.mark").alias("extra"))
+        cut = cut.join(one, F.col("_source").eqNullSafe(F.col("s")), "left").drop("s")
+        cut = cut.withColumn("gap", F.col("gap") - F.coalesce("extra._size", F.lit(0))).withColumn("extras", F.when(F.col("extra").isNull(), F.col("extras")).otherwise(F.array_append("extras", F.col("extra"))))
+        cut = saved(cut.drop("extra"))
+    return cut.select("_source", "source_size", "target", "epochs", "cut", "extras")
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0, seed: int = 17) -> DataFrame:
@@ -95,5 +103,5 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     plan = cuts(saved(rows.select("_id", "_source", "_size", "_key")), weights, share, most).withColumnRenamed("_source", "_of")
     out = join_checked(rows, plan, F.col("_source").eqNullSafe(F.col("_of")), "inner")
     mark = F.struct("_key", "_id", "_size")
-    once = F.coalesce(mark <= F.col("cut"), F.lit(False)) | F.coalesce(mark == F.col("extra"), F.lit(False))
+    once = F.coalesce(mark <= F.col("cut"), F.lit(False)) | F.array_contains("extras", mark)
     return out.withColumn("copies", F.col("epochs") + once.cast("long")).select(*[F.col(f"`{c}`") for c in docs.columns], "_size", "source_size", "target", "copies")
