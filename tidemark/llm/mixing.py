@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.tables import join_checked, saved
+from tidemark.llm.tables import join_checked, masked, saved, unmasked
 
 #: Weights of the sources in order of code point, null last, repeating.
 WEIGHTS = (3.0, 1.0, 2.0)
@@ -92,16 +92,17 @@ def cuts(rows: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0, seed: int = 17) -> DataFrame:
-    """``docs`` with _size (words), source_size, target, and copies: how often the mix takes the row.
+    """``docs`` with size (words), source_size, target, and copies: how often the mix takes the row.
 
     - Null, empty and wordless texts have size 0 and add nothing. A null source is a source, the last one.
     - Equal rows (id and text) share one key and one fate, so a cut among them may overshoot by their sizes.
-    - Very long texts count whole; an empty table gives an empty result. Names of ``docs`` that start with "_", or are
-      source_size, target or copies, aren't allowed.
+    - Very long texts count whole; an empty table gives an empty result. Columns of ``docs`` with the names of the new
+      ones give way to them; others stay, whatever their names.
     """
-    rows = sampling_rows(docs, id_col, text_col, source_col, seed)
+    docs, names = masked(docs)
+    rows = sampling_rows(docs, names[id_col], names[text_col], names[source_col], seed)
     plan = cuts(saved(rows.select("_id", "_source", "_size", "_key")), weights, share, most).withColumnRenamed("_source", "_of")
     out = join_checked(rows, plan, F.col("_source").eqNullSafe(F.col("_of")), "inner")
     mark = F.struct("_key", "_id", "_size")
     once = F.coalesce(mark <= F.col("cut"), F.lit(False)) | F.array_contains("extras", mark)
-    return out.withColumn("copies", F.col("epochs") + once.cast("long")).select(*[F.col(f"`{c}`") for c in docs.columns], "_size", "source_size", "target", "copies")
+    return out.select(unmasked(names, {"size": F.col("_size"), "source_size": F.col("source_size"), "target": F.col("target"), "copies": F.col("epochs") + once.cast("long")}))

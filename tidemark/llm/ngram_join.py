@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import words
 from tidemark.llm.components import components
-from tidemark.llm.tables import join_checked, saved
+from tidemark.llm.tables import join_checked, masked, saved, unmasked
 
 #: The elimination's prefix is longer than the shortest valid one by a shingle for each so many in the set.
 SPARE = 20
@@ -172,12 +172,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 75) -> DataFrame:
-    """``docs`` with the document of the smallest id of each group of near duplicates; rows without an id stay."""
-    found = saved(near_duplicates(docs, id_col, text_col, width, percent))
-    drop = found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_dropped"))
-    left = join_checked(docs, drop, docs[id_col] == F.col("_dropped"), "left_anti")
-    again = saved(docs.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_again")).count().where("count > 1").select("_again"))
-    if again.isEmpty():
-        return left
-    repeated = join_checked(left, again, left[id_col] == F.col("_again"), "left_semi").dropDuplicates([id_col])
-    return join_checked(left, again, left[id_col] == F.col("_again"), "left_anti").unionByName(repeated)
+    """``docs`` with the document of the smallest id of each group of near duplicates; rows without an id stay.
+
+    Of an id on several rows one row stays. Other cases as in near_duplicates; all columns stay, whatever their names.
+    """
+    found = saved(near_duplicates(docs, id_col, text_col, width, percent).toDF("id", "n", "component"))
+    rows, names = masked(docs)
+    key = F.col(names[id_col])
+    left = join_checked(rows, found.where("id <> component").select("id"), key == F.col("id"), "left_anti")
+    again = saved(rows.where(key.isNotNull()).groupBy(key.cast("long").alias("id")).agg(F.count("*").alias("n")).where("n > 1").select("id"))
+    if not again.isEmpty():
+        repeated = join_checked(left, again, key == F.col("id"), "left_semi").dropDuplicates([names[id_col]])
+        left = join_checked(left, again, key == F.col("id"), "left_anti").unionByName(repeated)
+    return left.select(unmasked(names))

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import bisect
 import os
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -25,15 +26,13 @@ from tidemark.llm.tables import saved
 
 #: Steps of the grid on which patterns are enumerated.
 GRID = 256
-#: Characters of distinct words that a task remembers at most.
-KNOWN_CHARS = 8_000_000
 _RANK_BITS = 40
 
 
 class WordIds:
     """Ids of whole texts from a tokenizer that never joins characters across white space, word by word.
 
-    Each distinct word is tokenised once and remembered, within KNOWN_CHARS.
+    A step's distinct words are tokenised once, and those that come up again and again are remembered.
     """
 
     def __init__(self, path: str) -> None:
@@ -42,42 +41,45 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self._forget()
-
-    def _forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.chars, self.used, self.flat, self.begin, self.size = 0, 0, np.zeros(1 << 16, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def _learn(self, new: list[str]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-        size = np.array([len(x) for x in found], np.int64)
-        while self.used + size.sum() > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.flat[self.used : self.used + size.sum()] = np.fromiter((i for x in found for i in x), np.uint32, int(size.sum()))
-        self.begin = np.concatenate([self.begin, self.used + np.cumsum(size) - size])
-        self.size = np.concatenate([self.size, size])
-        self.used += int(size.sum())
-        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
-        self.chars += sum(map(len, new))
+        self.known = words.Recent(self._learn, 2_500_000)
+        # words of letters alone may go to the merges straight away, if the tokenizer is of the kind known here
+        trial = ["abcdefgh", "thequickest", "\u00fcber", "caf\u00e9s", "stra\u00dfe", "\u00e0\u0161\u010d"]
+        self.direct = all([t.id for t in self.tokenizer.model.tokenize(_spelled(w))] == self.tokenizer.encode(w, add_special_tokens=False).ids for w in trial)
+
+    def _learn(self, new: list[str]) -> list[bytes]:
+        spelled = [_spelled(w) if self.direct else None for w in new]
+        others = [w for w, plain in zip(new, spelled, strict=True) if plain is None]
+        found = iter([e.ids for at in range(0, len(others), 4096) for e in self.tokenizer.encode_batch_fast(others[at : at + 4096], add_special_tokens=False)])
+        merge = self.tokenizer.model.tokenize
+        return [np.array(next(found) if plain is None else [t.id for t in merge(plain)], np.uint32).tobytes() for plain in spelled]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, starts): text i has ``ids[starts[i]:starts[i + 1]]``."""
         codes, starts, vocabulary = words.split_words(texts)
-        if self.chars > KNOWN_CHARS:
-            self._forget()
-        parts = [_parts(w) for w in vocabulary.to_pylist()]
-        if new := {w for pair in parts for w in pair if w not in self.known}:
-            self._learn(sorted(new))
-        # the ids of each distinct word here, then of the texts
-        index = np.fromiter((self.known[w] for pair in parts for w in pair), np.int64, 2 * len(parts))
-        local, begin = self._gather(self.flat, self.begin[index], self.size[index])
-        ids, ends = self._gather(local, begin[:-1:2][codes], (begin[2::2] - begin[:-1:2])[codes])
+        # the ids of the distinct words in a row, then those of the texts
+        found = self.known.look_up([w for word in vocabulary.to_pylist() for w in _parts(word)])
+        local = np.frombuffer(b"".join(found), np.uint32)
+        begin = np.concatenate([[0], np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) // 4)])[::2]
+        size = np.diff(begin)[codes]
+        ends = np.concatenate([[0], np.cumsum(size)])
+        ids = local[np.repeat((begin[:-1][codes] - ends[:-1]).astype(np.int32), size) + np.arange(ends[-1], dtype=np.int32)]
         return ids, ends[starts]
 
-    @staticmethod
-    def _gather(flat: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        ends = np.concatenate([[0], np.cumsum(size)])
-        return flat[np.repeat((begin - ends[:-1]).astype(np.int32), size) + np.arange(ends[-1], dtype=np.int32)], ends
+
+# Byte-level vocabularies spell the bytes 33-126, 161-172 and 174-255 as these code points and the others,
+# in order, as the code points from 256 on.
+_PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_SPELLING = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PLAIN)}
+
+
+def _spelled(word: str) -> str | None:
+    """A composed word of Latin letters alone as byte-level vocabularies spell it, or None for any other."""
+    if word.isascii():
+        return word.lower() if word.isalpha() else None
+    low = word.lower()
+    if low.isalpha() and max(low) < "\u0250" and unicodedata.is_normalized("NFC", word):
+        return low.encode().decode("latin-1").translate(_SPELLING)
+    return None
 
 
 def _parts(word: str) -> tuple[str, str]:

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm import words
+from tidemark.llm.tables import masked, unmasked
 
 #: Counts taken from every whole text. word_chars: code points in words; n_lines: lines with a word; n_dup_lines: such
 #: lines equal to an earlier one; n_repeat_words: words in three-word windows found twice or more in the text;
@@ -209,18 +210,21 @@ def base_failed(counts: str = "counts") -> Column:
     return (n < 50) | (100 * repeated > 50 * n)
 
 
-def score(docs: DataFrame, rules: list[Rule], text_col: str = "text", into: str = "counts") -> DataFrame:
-    """``docs`` with ``into`` (COUNTS), ``base_failed``, ``rule`` and ``kept``: neither the base nor a rule rejects it.
+def score(docs: DataFrame, rules: list[Rule], text_col: str = "text") -> DataFrame:
+    """``docs`` with ``counts`` (a struct of COUNTS), ``base_failed``, ``rule`` and ``kept``: neither the base nor a rule rejects it.
 
     Null, empty and wordless texts have counts of 0 and fail the base. Very long texts are counted whole. Each row is
-    judged by itself: repeated rows and null ids are rows like others, and an empty table gives an empty result.
+    judged by itself: repeated rows and null ids are rows like others, and an empty table gives an empty result. Columns
+    of ``docs`` with the names of the new ones give way to them.
     """
-    out = with_counts(docs, text_col, into).withColumn("base_failed", base_failed(into)).withColumn("rule", verdict(rules, into))
-    return out.withColumn("kept", ~F.col("base_failed") & F.col("rule").isNull())
+    rows, names = masked(docs)
+    rows = with_counts(rows, names[text_col])
+    kept = ~base_failed() & verdict(rules).isNull()
+    return rows.select(unmasked(names, {"counts": F.col("counts"), "base_failed": base_failed(), "rule": verdict(rules), "kept": kept}))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that the base and the learned rules keep, with their columns."""
-    counted = with_counts(docs, text_col, "_counts")
-    rejected = base_failed("_counts") | verdict(fit_rules(docs, labels, id_col, text_col), "_counts").isNotNull()
-    return counted.where(~rejected).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows of ``docs`` that the base and the learned rules keep, with their columns, whatever these are called."""
+    rows, names = masked(docs)
+    rejected = base_failed() | verdict(fit_rules(docs, labels, id_col, text_col)).isNotNull()
+    return with_counts(rows, names[text_col]).where(~rejected).select(unmasked(names))

@@ -39,8 +39,7 @@ def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    size = F.col("_size").alias("size")
-    return mixing.mix(_read(spark, sf_dir, "documents")).select("doc_id", size, "source_size", "target", (F.col("copies") * F.col("_size")).alias("taken"))
+    return mixing.mix(_read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,6 +29,21 @@ def saved(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def masked(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with its columns named by place, "_0", "_1" and so on, and the new name of each old one.
+
+    So columns that an operator adds meanwhile clash with none, whatever the table's are called.
+    """
+    names = [f"_{i}" for i in range(len(df.columns))]
+    return df.toDF(*names), dict(zip(df.columns, names, strict=True))
+
+
+def unmasked(names: dict[str, str], added: dict[str, Column] | None = None) -> list[Column]:
+    """The old columns under their names, then ``added``, which stand in for old columns of their names."""
+    added = added or {}
+    return [F.col(m).alias(c) for c, m in names.items() if c not in added] + [x.alias(c) for c, x in added.items()]
+
+
 def join_checked(left: DataFrame, right: DataFrame, on: str | list[str] | Column, how: str, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``left`` joined with the narrow, saved table ``right``, broadcast if it has ``rows`` rows at most."""
     return left.join(F.broadcast(right) if right.count() <= rows else right, on, how)

@@ -21,8 +21,6 @@ from tidemark.llm import words
 
 #: Put before each word, as the vocabulary's pieces have it.
 WORD_START = "▁"
-#: Characters of distinct words that a task remembers the counts of at most.
-KNOWN_CHARS = 8_000_000
 
 
 def zipf_scores(model_path: str) -> dict[str, float]:
@@ -64,22 +62,19 @@ class Trie:
 
 
 class Counter:
-    """Counts of distinct words, remembered within KNOWN_CHARS."""
+    """Counts of distinct words, remembered while they come up again."""
 
     def __init__(self, scores: dict[str, float]) -> None:
-        self.scores, self.known, self.chars = scores, {}, 0
+        self.scores, self.known = scores, words.Recent(self._learn, 2_500_000)
+
+    def _learn(self, new: list[str]) -> list[int]:
+        trie = Trie(self.scores)
+        return [trie.count(WORD_START + word) for word in new]
 
     def per_text(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(words, tokens) of each text."""
         codes, starts, vocabulary = words.split_words(texts)
-        vocabulary = vocabulary.to_pylist()
-        if self.chars > KNOWN_CHARS:
-            self.known, self.chars = {}, 0
-        trie = Trie(self.scores)
-        for word in sorted(w for w in vocabulary if w not in self.known):
-            self.known[word] = trie.count(WORD_START + word)
-            self.chars += len(word)
-        counts = np.fromiter((self.known[w] for w in vocabulary), np.int64, len(vocabulary))[codes]
+        counts = np.array(self.known.look_up(vocabulary.to_pylist()), np.int64)[codes]
         total = np.concatenate([[0], np.cumsum(counts)])[starts]
         return np.diff(starts), np.diff(total)
 

@@ -6,7 +6,7 @@ counts as a text without words.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -84,3 +84,32 @@ def shingle_sets(texts: pa.Array, width: int = 5) -> Iterator[np.ndarray]:
             yield np.unique(windows[a : b - width + 1])
         else:
             yield window_hashes(hashes[a:b], b - a) if b > a else windows[:0]
+
+
+class Recent:
+    """What was found for words lately, in two generations: bounded memory that keeps the words that come up again.
+
+    When the present generation has ``most`` characters or more it becomes the earlier one, and the one before that goes.
+    """
+
+    def __init__(self, learn: Callable[[list[str]], Iterable], most: int = 1_500_000) -> None:
+        self.learn, self.most, self.chars = learn, most, 0
+        self.now: dict[str, object] = {}
+        self.before: dict[str, object] = {}
+
+    def look_up(self, words: list[str]) -> list:
+        """What was found for each of ``words``; those not remembered are learned, each once and in sorted order."""
+        if self.chars > self.most:
+            self.now, self.before, self.chars = {}, self.now, 0
+        now, before, missing = self.now, self.before, []
+        for w in words:
+            if w not in now:
+                if (known := before.get(w)) is None:
+                    missing.append(w)
+                else:
+                    now[w] = known
+                    self.chars += len(w)
+        missing = sorted(set(missing))
+        now.update(zip(missing, self.learn(missing), strict=True))
+        self.chars += sum(map(len, missing))
+        return [now[w] for w in words]
