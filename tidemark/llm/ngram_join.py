@@ -113,8 +113,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _nodes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(members, texts): the node of each id, and the text of each node, once."""
     ids = saved(rows.where("id is not null").groupBy("id").agg(F.min(F.unhex(F.md5("text"))).alias("print"), F.count("*").alias("n_rows")))
-    least = ids.where("print is not null").groupBy("print").agg(F.min("id").alias("node"))
-    members = saved(ids.join(least, "print", "left").withColumn("node", F.coalesce("node", "id")))
+    groups = saved(ids.where("print is not null").groupBy("print").agg(F.min("id").alias("node"), F.count("*").alias("n")).where("n > 1").drop("n"))
+    members = saved(join_checked(ids, groups, "print", "left").withColumn("node", F.coalesce("node", "id")))
     present = rows.where("id is not null and text is not null")
     texts = join_checked(present, members.where("id <> node or n_rows > 1").select("id"), "id", "left_anti")
     again = members.where("id = node and n_rows > 1 and print is not null").select("id", "print")

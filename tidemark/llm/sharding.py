@@ -74,11 +74,11 @@ def shard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_sha
     total = rows.count()
     quotas = [total // n_shards + (s < total % n_shards) for s in range(n_shards)]
 
-    groups = rows.where("print is not null").groupBy("print").agg(F.count("*").alias("n_group")).where("n_group > 1")
+    groups = saved(rows.where("print is not null").groupBy("print").agg(F.count("*").alias("n_group")).where("n_group > 1"))
     part = max(1, total // n_shards // 4)
     parts = F.ceil(F.col("n_group") / part)
     linked = saved(
-        rows.select("uid", "print").join(groups, "print")
+        join_checked(rows.select("uid", "print"), groups, "print", "inner")
         .withColumn("block", F.concat_ws("/", F.hex("print"), F.pmod(F.xxhash64("uid"), parts)))
         .select("uid", "block", F.pmod(F.xxhash64("uid", F.lit(1)), F.lit(n_shards)).cast("int").alias("shard"))
     )
