@@ -41,7 +41,7 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.known = words.Recent(self._learn, 2_500_000)
+        self.known = words.Recent(self._learn)
         # words of letters alone may go to the merges straight away, if the tokenizer is of the kind known here
         trial = ["abcdefgh", "thequickest", "\u00fcber", "caf\u00e9s", "stra\u00dfe", "\u00e0\u0161\u010d"]
         self.direct = all([t.id for t in self.tokenizer.model.tokenize(_spelled(w))] == self.tokenizer.encode(w, add_special_tokens=False).ids for w in trial)

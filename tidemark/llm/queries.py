@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import cotraining, exact_topk, line_dedup, mixing, ngram_join, packing, quality_rules, secrets, sharding, token_counts
+from tidemark.llm.tables import read_texts
 
 #: Where the vocabulary files of public tokenizers are.
 TOKENIZERS = os.environ.get("TIDEMARK_TOKENIZERS", "/opt/tokenizers")
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return read_texts(spark, f"{sf_dir}/{table}.parquet")
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 500_000
 #: The same for tables of large values, in bytes.
 BROADCAST_BYTES = 48 << 20
+#: Rows in an Arrow batch of texts.
+ARROW_ROWS = 2000
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -22,6 +24,17 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def read_texts(spark: SparkSession, path: str) -> DataFrame:
+    """The Parquet table of long texts at ``path``.
+
+    Texts are hundreds of times longer than the rows that Spark's default Arrow batch of 10,000 is meant for, so the
+    session's batches are made smaller, for the memory of executors and of their Python workers.
+    """
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > ARROW_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    return spark.read.parquet(path)
+
+
 def saved(df: DataFrame) -> DataFrame:
     """``df`` written once to the shared folder and read back, which cuts its lineage and outlives lost executors."""
     path = f"{shared_folder(df.sparkSession).rstrip('/')}/tidemark/{uuid.uuid4().hex}"

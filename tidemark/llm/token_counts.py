@@ -65,7 +65,7 @@ class Counter:
     """Counts of distinct words, remembered while they come up again."""
 
     def __init__(self, scores: dict[str, float]) -> None:
-        self.scores, self.known = scores, words.Recent(self._learn, 2_500_000)
+        self.scores, self.known = scores, words.Recent(self._learn)
 
     def _learn(self, new: list[str]) -> list[int]:
         trie = Trie(self.scores)

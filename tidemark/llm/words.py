@@ -9,9 +9,9 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 #: Bytes of text that one step of a task handles at a time; a longer text is a step of its own.
 STEP_BYTES = 4 << 20
@@ -47,7 +47,8 @@ def split_words(texts: pa.Array, ascii_lower: bool = False) -> tuple[np.ndarray,
 
 def hash_words(vocabulary: pa.Array) -> np.ndarray:
     """64-bit hashes of strings, the same in every task."""
-    return pd.util.hash_array(vocabulary.to_numpy(zero_copy_only=False).astype(object), categorize=False)
+    digest = xxhash.xxh3_64_intdigest
+    return np.fromiter((digest(w) for w in vocabulary.to_pylist()), np.uint64, len(vocabulary))
 
 
 def scramble(x: np.ndarray) -> np.ndarray:
