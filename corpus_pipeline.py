@@ -12,12 +12,12 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import line_dedup, mixing, ngram_join, packing, quality_rules
 from tidemark.llm.queries import TOKENIZERS
-from tidemark.llm.tables import saved
+from tidemark.llm.tables import read_texts, saved
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that neither the base rules nor the learned ones reject."""
-    return quality_rules.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality_rules.keep_good(docs, read_texts(spark, f"{sf_dir}/labels.parquet"))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,7 +57,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the whole table documents, each result saved in the shared folder."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = read_texts(spark, f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
         docs = saved(stage(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)
