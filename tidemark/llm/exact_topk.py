@@ -92,35 +92,32 @@ def best_in_block(queries: np.ndarray, query_ids: np.ndarray, cells: np.ndarray,
 
     ``reached`` is a score that each query's k-th best is known to reach; it is raised here.
     """
-    n_q, n_x = len(queries), len(cells)
-    bound = _statistics(queries, LEVELS[0]) @ _statistics(cells, LEVELS[0]).T
-    own = query_ids[:, None] == ids[None, :]
-    bound[own] = -np.inf
-    # the k with the highest bounds give a score to reach
-    first = min(n_x, k + 1)
-    top = np.argpartition(-bound, first - 1, axis=1)[:, :first] if first else np.zeros((n_q, 0), int)
-    q, x = np.repeat(np.arange(n_q), top.shape[1]), top.ravel()
-    tried = np.where(own[q, x], float(_LEAST), _exact(queries[q], cells[x]).astype(float)).reshape(n_q, -1)
-    if top.shape[1] >= k:
-        np.maximum(reached, np.sort(tried, axis=1)[:, ::-1][:, k - 1], out=reached)
-    slack = 1e-9 * (np.abs(reached) + 1)
-    q, x = np.nonzero(bound * (1 + 1e-9 * np.sign(bound)) + 1e-6 >= (reached - slack)[:, None])
-    for level in LEVELS[1:]:
-        a, b = _statistics(queries, level), _statistics(cells, level)
-        keep = []
-        for at in range(0, len(q), 1 << 16):
-            p, r = q[at : at + (1 << 16)], x[at : at + (1 << 16)]
-            fine = np.einsum("ij,ij->i", a[p], b[r])
-            keep.append(fine * (1 + 1e-9 * np.sign(fine)) + 1e-6 >= (reached - slack)[p])
-        keep = np.concatenate(keep) if keep else np.zeros(0, bool)
-        q, x = q[keep], x[keep]
-    keep = ~own[q, x]
-    q, x = q[keep], x[keep]
-    score = np.concatenate([_exact(queries[q[i : i + (1 << 16)]], cells[x[i : i + (1 << 16)]]) for i in range(0, max(1, len(q)), 1 << 16)])
-    order = np.lexsort((ids[x], -score.astype(float), q))
-    if np.abs(score).max(initial=0) >= _EXACT:
-        order = np.array(sorted(range(len(q)), key=lambda i: (q[i], -int(score[i]), ids[x[i]])), int)
-    q, x, score = q[order], x[order], score[order]
+    alive = query_ids[:, None] != ids[None, :]
+    columns = np.arange(len(cells))
+    for level in LEVELS:  # the vectors that no query needs any more are left out of the finer levels
+        bound = _statistics(queries, level) @ _statistics(cells[columns], level).T
+        bound += 1e-9 * np.abs(bound) + 1e-6  # beyond what rounding may take away
+        if level == LEVELS[0] and len(columns) > k and np.isneginf(reached).any():
+            # those with the highest bounds give a first score to reach
+            bound[~alive] = -np.inf
+            top = np.argpartition(-bound, k, axis=1)[:, : k + 1]
+            q = np.repeat(np.arange(len(queries)), k + 1)
+            tried = np.where(alive[q, top.ravel()], _exact(queries[q], cells[top.ravel()]).astype(float), -np.inf)
+            np.maximum(reached, np.sort(tried.reshape(len(queries), -1), axis=1)[:, 1], out=reached)
+        alive &= bound >= (reached - 1e-9 * np.abs(np.where(np.isneginf(reached), 0, reached)))[:, None]
+        wanted = alive.any(axis=0)
+        alive, columns = alive[:, wanted], columns[wanted]
+    chosen = cells[columns]
+    if np.abs(queries).max(initial=0) * np.abs(chosen).max(initial=0) * max(1, queries.shape[1]) < _EXACT:
+        product = queries @ chosen.T
+        q, x = np.nonzero(alive & (product >= reached[:, None]))
+        score = product[q, x].astype(np.int64)
+        order = np.lexsort((ids[columns[x]], -score, q))
+    else:
+        q, x = np.nonzero(alive)
+        score = _exact(queries[q], chosen[x])
+        order = np.array(sorted(range(len(q)), key=lambda i: (q[i], -int(score[i]), ids[columns[x[i]]])), int)
+    q, x, score = q[order], columns[x[order]], score[order]
     place = np.arange(len(q)) - np.searchsorted(q, q)
     full = place == k - 1
     np.maximum.at(reached, q[full], score[full].astype(float))

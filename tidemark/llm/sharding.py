@@ -36,7 +36,7 @@ def _settled(linked: DataFrame, quotas: list[int], buckets: int) -> DataFrame:
     near = saved(linked.groupBy("block", "shard").agg(F.count("*").alias("c")).join(sizes, "block"))
     done, room = None, list(quotas)
     for _ in range(ROUNDS):
-        free = F.broadcast(spark.createDataFrame(list(enumerate(room)), "shard int, room long"))
+        free = F.broadcast(spark.range(1).select(F.posexplode(F.array(*[F.lit(r).cast("long") for r in room])).alias("shard", "room")))
         open_ = near if done is None else near.join(done.select("block"), "block", "left_anti")
         # every shard with room is a choice, so that a block whose neighbours' shards are full moves on
         blocks = open_.select("block", "n").distinct()
