@@ -1,7 +1,7 @@
 import re
 
 import pytest
-from conftest import edge_rows, prose
+from llm_cases import edge_rows, prose
 
 from tidemark.llm.components import components
 from tidemark.llm.ngram_join import keep_one, near_duplicates

@@ -5,7 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
-from conftest import TOKENIZERS, edge_rows, prose
+from llm_cases import TOKENIZERS, edge_rows, prose
 
 from tidemark.llm import cotraining, line_dedup, mixing, packing, quality_rules, secrets, sharding, token_counts
 

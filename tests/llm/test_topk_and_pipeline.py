@@ -3,7 +3,7 @@ import math
 
 import numpy as np
 import pytest
-from conftest import edge_rows, prose
+from llm_cases import edge_rows, prose
 
 from tidemark.llm.exact_topk import best_in_block, top_k
 
