@@ -98,6 +98,11 @@ def test_build_catalog(spark, tmp_path):
     assert builds.read(10, 6).count() == 1
     with pytest.raises(LookupError):
         builds.read(12, 6)
+    for day in range(3, 9):
+        builds.publish(f"2024010{day}T000000Z", data, 11, 6)
+    assert builds.prune(keep=5) == ["20240101T000000Z", "20240103T000000Z"]
+    assert not (tmp_path / "versions/build_id=20240103T000000Z").exists() and builds.read(10, 6).count() == 1
+    assert builds.prune(keep=5) == []
     stale = builds.table().limit(1).withColumns({"build_id": F.lit("x"), "status": F.lit("building")})
     builds._put(stale)
     builds.recover()

@@ -115,3 +115,17 @@ def inventory(bars: DataFrame, by: str = "series_id", day: str = "observation_da
 def feature_profile(long: DataFrame, total: Column | int) -> DataFrame:
     """Coverage, mean, least and most of each feature."""
     return long.groupBy("feature").agg((F.count("value") / total).alias("coverage"), F.avg("value").alias("mean"), F.min("value").alias("least"), F.max("value").alias("most"))
+
+
+def conformance_report(long: DataFrame, known: list[str]) -> DataFrame:
+    """(check, violations) over a long table (series_id, observation_date, available_at_utc, feature, value)."""
+    checks = {
+        "null_key": F.col("series_id").isNull() | F.col("observation_date").isNull() | F.col("feature").isNull(),
+        "not_finite": ~F.coalesce(finite("value"), F.lit(False)),
+        "unknown_feature": ~F.col("feature").isin(known),
+        "available_too_early": F.col("available_at_utc") <= F.col("observation_date").cast("timestamp"),
+        "available_on_weekend": F.weekday(F.col("available_at_utc").cast("date")) >= 5,
+    }
+    counted = long.agg(*[F.count_if(bad).alias(name) for name, bad in checks.items()])
+    doubled = long.groupBy("series_id", "observation_date", "feature").agg(F.count("*").alias("n")).where("n > 1").agg(F.count("*").alias("violations"))
+    return counted.unpivot([], list(checks), "check", "violations").unionByName(doubled.select(F.lit("duplicate_key").alias("check"), "violations"))

@@ -430,3 +430,22 @@ def retention_select(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("latest_compatible", f"WITH {_BUILDS} SELECT build_id, schema_version, feature_version FROM k WHERE status = 'complete' AND schema_version >= 10 AND feature_version = 6 ORDER BY completed_at_utc DESC, build_id DESC LIMIT 1")
 def latest_compatible(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.latest_compatible(_builds(spark, sf_dir), least_schema=10, feature_version=6).select("build_id", "schema_version", "feature_version")
+
+
+@register("fetch_windows", f"""WITH {O.BARS2}, {O.UNITS}, m AS (SELECT series_id, max(observation_date) AS d FROM b WHERE series_id <> 'move' GROUP BY series_id)
+SELECT u.series_id, CASE WHEN d IS NULL THEN 'bootstrap' ELSE 'update' END AS mode, coalesce(CASE WHEN u.provider IN ('Yahoo', 'ECB', 'FRED') THEN CAST(d - 7 AS VARCHAR) END, 'all') AS request_from, coalesce(CAST(d - 7 AS VARCHAR), 'all') AS first_date, DATE '2026-01-01' AS last_date
+FROM u LEFT JOIN m USING (series_id)""")
+def fetch_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    registry = spark.createDataFrame([(s.series_id, s.fetch) for s in REGISTRY], "series_id string, fetch string")
+    out = lake.fetch_windows(registry, bars_by_nation(spark, sf_dir).where("series_id <> 'move'"), "2026-01-01")
+    return out.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("all")) for c in ("request_from", "first_date")})
+
+
+@register("conformance_report", f"""WITH {_LONG_CTE}, x AS (SELECT *, observation_date + CASE isodow(observation_date) WHEN 5 THEN 3 WHEN 6 THEN 2 ELSE 1 END AS available FROM n)
+SELECT 'null_key' AS check, count(*) FILTER (series_id IS NULL OR observation_date IS NULL OR feature IS NULL) AS violations FROM x
+UNION ALL SELECT 'not_finite', count(*) FILTER (value IS NULL OR isnan(value) OR isinf(value)) FROM x UNION ALL SELECT 'unknown_feature', count(*) FILTER (feature = 'roc_8obs') FROM x
+UNION ALL SELECT 'available_too_early', count(*) FILTER (available <= observation_date) FROM x UNION ALL SELECT 'available_on_weekend', count(*) FILTER (isodow(available) > 5) FROM x
+UNION ALL SELECT 'duplicate_key', count(*) FROM (SELECT 1 FROM x GROUP BY series_id, observation_date, feature HAVING count(*) > 1)""")
+def conformance_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    long = _long(spark, sf_dir).withColumn("available_at_utc", next_weekday("observation_date"))
+    return frames.conformance_report(long, [n for n in catalog.LEVEL_NAMES if n != "roc_8obs"])

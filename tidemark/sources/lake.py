@@ -26,6 +26,21 @@ def write_changed_months(table: DataFrame, diff: DataFrame, path: str, day: str
     return n
 
 
+def fetch_windows(registry: DataFrame, history: DataFrame, today: str, overlap_days: int = 7, reconcile: bool = False) -> DataFrame:
+    """What to fetch for each series of ``registry`` (series_id, fetch), from the last stored day of ``history``.
+
+    Without history: everything (bootstrap). Else the last ``overlap_days`` days before the last stored one and what
+    follows (update), for revisions; or everything again (reconcile). Sources that only have whole files are filtered by
+    the same window. first_date is null where there is no lower bound; only request_from is what a source is asked for.
+    """
+    last = history.groupBy("series_id").agg(F.max("observation_date").alias("last_date"))
+    rows = registry.join(last, "series_id", "left")
+    mode = F.when(F.col("last_date").isNull(), "bootstrap").otherwise("reconcile" if reconcile else "update")
+    first = F.when((mode == "update"), F.date_sub("last_date", overlap_days))
+    request = F.when(F.col("fetch") == "date_range", first)
+    return rows.select("series_id", mode.alias("mode"), request.alias("request_from"), first.alias("first_date"), F.lit(today).cast("date").alias("last_date"))
+
+
 def superseded_builds(catalog: DataFrame, keep: int) -> DataFrame:
     """Complete builds beyond the newest ``keep`` of their pair of versions."""
     newest = Window.partitionBy("schema_version", "feature_version").orderBy(F.desc("completed_at_utc"), F.desc("build_id"))
@@ -90,6 +105,19 @@ class BuildCatalog:
         if not stale.isEmpty():
             self._put(stale.select(*[f.name for f in self.table().schema.fields]))
 
+    def prune(self, keep: int = 5) -> list[str]:
+        """Gives up complete builds beyond the newest ``keep`` of their versions: first in the catalog, then on disk."""
+        old = superseded_builds(self.table(), keep).withColumn("status", F.lit("pruned")).cache()
+        rows = old.collect()  # a row for each build
+        if rows:
+            self._put(old)
+        fs_path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        for row in self.table().where("status = 'pruned'").collect():
+            path = fs_path(row["path"])
+            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        old.unpersist()
+        return sorted(r["build_id"] for r in rows)
+
     def read(self, least_schema: int, feature_version: int) -> DataFrame:
         """The newest compatible build; never what merely lies on disk."""
         row = latest_compatible(self.table(), least_schema, feature_version).first()
