@@ -123,6 +123,8 @@ def _pieces(path: str, end_id: int, length: int, keep_ids: bool):
             if keep_ids:
                 columns.append(pa.array(cut, pa.list_(pa.int32())))
             yield pa.RecordBatch.from_arrays(columns, ["id", "piece", "start", "length", "ids_crc32", "ids"][: len(columns)])
+        encoder.known.forget()
+        words.tidy()
 
     return run
 

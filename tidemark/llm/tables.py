@@ -13,7 +13,7 @@ BROADCAST_ROWS = 500_000
 #: The same for tables of large values, in bytes.
 BROADCAST_BYTES = 48 << 20
 #: Rows in an Arrow batch of texts.
-ARROW_ROWS = 2000
+ARROW_ROWS = 1200
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -96,6 +96,8 @@ def token_counts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
         for batch in words.steps(batches, "text", 2 * words.STEP_BYTES):
             n_words, n_tokens = _counters[model_path].per_text(batch.column("text"))
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n_words), pa.array(n_tokens)], ["id", "n_words", "n_tokens"])
+        _counters[model_path].known.forget()
+        words.tidy()
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     out = rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, n_words long, n_tokens long")

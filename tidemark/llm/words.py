@@ -6,6 +6,7 @@ counts as a text without words.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -19,8 +20,20 @@ STEP_BYTES = 4 << 20
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
+def tidy() -> None:
+    """Gives free memory back to the system: a Python worker waits for its next task beside a JVM that needs it."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def steps(batches: Iterator[pa.RecordBatch], column: str, limit: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
-    """The rows of ``batches`` in pieces of about ``limit`` bytes of ``column``, so that long texts don't add up in memory."""
+    """The rows of ``batches`` in pieces of about ``limit`` bytes of ``column``, so that long texts don't add up in memory.
+
+    At the end of the task memory is given back.
+    """
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         part = (np.cumsum(sizes, dtype=np.int64) - sizes) // limit
@@ -28,6 +41,7 @@ def steps(batches: Iterator[pa.RecordBatch], column: str, limit: int = STEP_BYTE
         for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(part)], strict=True):
             if b > a:
                 yield batch.slice(a, b - a)
+    tidy()
 
 
 def split_words(texts: pa.Array, ascii_lower: bool = False) -> tuple[np.ndarray, np.ndarray, pa.Array]:
@@ -98,6 +112,9 @@ class Recent:
         self.now: dict[str, object] = {}
         self.before: dict[str, object] = {}
 
+    def forget(self) -> None:
+        self.now, self.before, self.chars = {}, {}, 0
+
     def look_up(self, words: list[str]) -> list:
         """What was found for each of ``words``; those not remembered are learned, each once and in sorted order."""
         if self.chars > self.most:
