@@ -85,8 +85,10 @@ def gold_outer_chain(bars: DataFrame, ids: list[str]) -> DataFrame:
 
 def long_form(wide: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
     """(keys, feature, value) of every finite value; booleans as 1.0 and 0.0."""
-    cast = wide.select(*keys, *[F.col(v).cast("double").alias(v) for v in values])
-    return cast.unpivot(keys, values, "feature", "value").where(finite("value"))
+    # one array a row, exploded: an unpivot of ninety columns would be ninety projections of the whole row
+    row = wide.select(*keys, F.posexplode(F.array(*[F.col(v).cast("double") for v in values])).alias("_at", "value"))
+    names = F.array(*[F.lit(v) for v in values])
+    return row.where(finite("value")).select(*keys, F.element_at(names, F.col("_at") + 1).alias("feature"), "value")
 
 
 def silver_canonical(bronze: DataFrame, units: DataFrame) -> DataFrame:
