@@ -9,8 +9,8 @@ The join is a prefix-filter join with the rarest shingles first:
    whose shingles there occur in another node has no partner at all. Its whole set is never shuffled.
 3. The remaining nodes' sets are counted exactly, and their shingles put in order of document frequency, rarest first.
    Prefix shingles with their position are the join's keys.
-4. Each prefix shingle's nodes are first compared with one of them; then only nodes that aren't known to be
-   connected are joined with each other. Length and positional filters are conditions of the join itself, the suffix
+4. Each prefix shingle's nodes are first compared with one of them, then with a few; at last all nodes that aren't known
+   to be connected are joined with each other. Length and positional filters are conditions of the join itself, the suffix
    filter compares counts by hash range, and the pairs left are verified once on their whole sets. So a group of
    thousands of near copies never becomes a table of all its pairs, yet no link that matters to a component is lost.
 5. Connected components by alternating stars.
@@ -34,6 +34,8 @@ from tidemark.llm.tables import join_checked, masked, saved, unmasked
 
 #: The elimination's prefix is longer than the shortest valid one by a shingle for each so many in the set.
 SPARE = 20
+#: Nodes of a prefix shingle that its others are compared with before all that are still unconnected are.
+LEADERS = 24
 #: Ranges of hashes whose counts the suffix filter compares.
 RANGES = 64
 
@@ -158,12 +160,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     to_one = saved(prefix.alias("x").join(first.alias("y"), F.expr(f"x.token = y.token and x.node <> y.node and {possible}")).select(*ends).distinct())
     links = _verified(to_one, sets, percent)
 
-    known = prefix.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    def connected(links: DataFrame) -> DataFrame:
+        return prefix.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+    # then with a few more, the same ones for many shingles, which leaves little of a dense group unconnected
+    known = saved(connected(links))
+    place = F.row_number().over(Window.partitionBy("token").orderBy(F.xxhash64("node"), "node"))
+    some = known.withColumn("place", place).where(F.col("place") <= LEADERS).drop("place")
+    to_some = known.alias("x").join(some.alias("y"), F.expr(f"x.token = y.token and x.component <> y.component and {possible}"))
+    to_some = saved(to_some.select(*ends).distinct().join(to_one, ["a", "b"], "left_anti"))
+    links = links.union(_verified(to_some, sets, percent))
+
+    known = connected(links)
     # lengths in bands so wide that a partner is in the same or the next one
     known = known.withColumn("band", F.expr(f"int(floor(ln(n) / -ln({percent} / 100.0D) + 1e-9))"))
     longer = known.select("*", F.explode(F.array("band", F.col("band") - 1)).alias("with")).drop("band")
     pairs = known.alias("x").join(longer.alias("y"), F.expr(f"x.token = y.token and x.band = y.with and (x.n, x.node) < (y.n, y.node) and x.component <> y.component and {possible}"))
-    others = saved(pairs.select(*ends).distinct().join(to_one, ["a", "b"], "left_anti"))
+    others = saved(pairs.select(*ends).distinct().join(to_one.union(to_some), ["a", "b"], "left_anti"))
     linked = components(links.union(_verified(others, sets, percent)))
 
     out = members.join(sizes.select("node", "n"), "node", "left").join(linked, "node", "left")
