@@ -11,8 +11,6 @@ from tidemark.llm.exact_topk import best_in_block, top_k
 def brute(rows, k=5, every=3):
     good = [(i, [math.floor(256 * float(x)) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     queries = {}
-    for i, v in sorted([(i, v) for i, v in rows if any(i == g for g, _ in good)], key=lambda t: (t[0], t[1] is None)):
-        pass
     for i, v in good:
         if i % every == 0:
             queries[i] = min(queries.get(i, v), v)
