@@ -22,7 +22,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the later copies of repeated line runs."""
-    cleaned = line_dedup.dedup_lines(docs).where("n_deleted = 0 or text <> ''")
+    cleaned = line_dedup.dedup_lines(docs, whole_runs=True).where("n_deleted = 0 or text <> ''")
     n_chars = F.when(F.col("n_deleted") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
     return cleaned.withColumn("n_chars", n_chars).select(docs.columns)
 

@@ -207,6 +207,53 @@ def test_line_dedup(make_docs, min_lines):
     assert line_dedup.dedup_lines(make_docs([])).count() == 0
 
 
+def clean_runs(rows, min_lines=2, min_chars=40, long_line=60):
+    """{(id, text): (cleaned text, lines deleted)}, by following each line's longest run that occurs from an earlier line on."""
+    texts = sorted({(r[0], r[1]) for r in rows if r[1] is not None}, key=lambda r: (r[0] is not None, r[0] or 0))
+    before, out = {}, {}
+    for doc_id, text in texts:
+        lines, gone = text.split("\n"), set()
+        for p, line in enumerate(lines):
+            longest = 0
+            for others, q in before.get(line, []):
+                n = 1
+                while p + n < len(lines) and q + n < len(others) and lines[p + n] == others[q + n]:
+                    n += 1
+                longest = max(longest, n)
+            if longest >= min_lines and sum(map(len, lines[p : p + longest])) >= min_chars:
+                gone |= set(range(p, p + longest))
+            if longest and len(line) >= long_line:
+                gone.add(p)
+            before.setdefault(line, []).append((lines, p))
+        out[doc_id, text] = "\n".join(line for p, line in enumerate(lines) if p not in gone), len(gone)
+    return out
+
+
+@pytest.mark.parametrize("min_lines", [1, 2, 3, 5])
+def test_line_dedup_of_whole_runs(make_docs, min_lines):
+    pool = [*(prose(i, 1 + i % 4) for i in range(6)), prose(7, 12), ""]
+    rnd = np.random.default_rng(min_lines)
+    song = [f"la {i}" for i in range(30)]  # each two lines have 10 characters
+    rows = [(i, "\n".join(pool[j] for j in rnd.integers(0, len(pool), rnd.integers(1, 20)))) for i in range(50)]
+    rows += [(100, "\n".join(["intro", *song, "end"])), (101, "\n".join(["other", *song[3:25], "last"])), (102, "\n".join(song[:7])), (103, "\n".join([*song[10:14], "b", *song[20:24]]))]
+    rows += [(110, "x\n" * 90 + "end"), (111, "first" + "\n" * 40 + "a word"), (112, ("first" + "\n" * 40 + "a word\n") * 5), (113, None), (114, ""), (115, "\n\n\n")]
+    rows += [(None, "\n".join([f"so {i}" for i in range(12)] * 2)), (116, rows[3][1]), (116, rows[3][1])]
+    out = line_dedup.dedup_lines(make_docs(rows, clashes=True), min_lines=min_lines, whole_runs=True)
+    expected = clean_runs(rows, min_lines)
+    found = collections.Counter((r["doc_id"], r["text"], r["n_lines"], r["n_deleted"]) for r in out.collect())
+    assert found == collections.Counter((i, None, 0, 0) if t is None else (i, expected[i, t][0], t.count("\n") + 1, expected[i, t][1]) for i, t in rows)
+    assert expected[101, rows[51][1]] == ("other\nlast", 22)
+    assert line_dedup.dedup_lines(make_docs([]), whole_runs=True).count() == 0
+
+
+def test_line_dedup_query_takes_whole_runs(spark, make_docs, tmp_path):
+    from tidemark.llm.queries import op8_line_dedup
+
+    song = "\n".join(f"la {i}" for i in range(30))
+    make_docs([(1, f"a\n{song}"), (2, f"b\n{song}")]).write.parquet(f"{tmp_path}/documents.parquet")
+    assert {(r["doc_id"], r["n_deleted"]) for r in op8_line_dedup(spark, str(tmp_path)).collect()} == {(1, 0), (2, 30)}
+
+
 # quality rules
 
 

@@ -4,7 +4,9 @@ Positions (document, line) are ranked by their first 1, 2, 4, ... lines; a round
 ranks by h lines here and h lines on. Positions of one rank are an interval of the suffix array whose common prefix has
 at least so many lines. Lines that occur once, and with them all longer prefixes through them, are discarded first. The
 earliest position of an interval is kept; at the others its lines are deleted, so overlapping intervals delete maximal
-runs. DataFrame functions only; only hashes of lines are shuffled, never texts unless too many documents change.
+runs. Where the bound on characters is asked of whole runs, doubling goes on to the shortest runs that reach it, from each
+line on and up to each line: every run that reaches it is a union of those, and each is told by the ranks of two
+overlapping halves. DataFrame functions only; only hashes of lines are shuffled, never texts unless too many documents change.
 """
 
 from __future__ import annotations
@@ -53,38 +55,98 @@ def _doubled(ranked: DataFrame, ahead: int) -> DataFrame:
     return pairs.join(same, ["rank", "then"]).drop("rank", "then").withColumnRenamed("deeper", "rank")
 
 
-def later_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = MIN_LINES, min_chars: int = MIN_CHARS, long_line: int = LONG_LINE) -> DataFrame:
+def _merged(runs: DataFrame) -> DataFrame:
+    """Places ``at`` to ``to`` of documents, those that overlap as one."""
+    by_doc = Window.partitionBy(*_DOC).orderBy("at", "to")
+    before = F.max("to").over(by_doc.rowsBetween(Window.unboundedPreceding, -1))
+    runs = runs.select(*_DOC, "at", "to", F.when(F.col("at") <= before, 0).otherwise(1).alias("fresh"))
+    runs = runs.withColumn("run", F.sum("fresh").over(by_doc.rowsBetween(Window.unboundedPreceding, 0)))
+    return runs.groupBy(*_DOC, "run").agg(F.min("at").alias("at"), F.max("to").alias("to")).drop("run")
+
+
+def _shortest_runs(ranked: DataFrame, min_lines: int, min_chars: int) -> DataFrame:
+    """Runs (at, to) of repeated lines that just reach both bounds: from each line on, and up to each line."""
+    by_doc = Window.partitionBy(*_DOC).orderBy("pos")
+    rows = ranked.select(*_DOC, "pos", "chars", (F.col("pos") - F.row_number().over(by_doc)).alias("island"))
+    island = Window.partitionBy(*_DOC, "island")
+    upto = F.sum("chars").over(island.orderBy("pos").rowsBetween(Window.unboundedPreceding, 0))
+    ends = [F.min("pos").over(island).alias("least"), F.max("pos").over(island).alias("most"), F.sum("chars").over(island).alias("all")]
+    rows = rows.select(*_DOC, "island", "pos", upto.alias("upto"), (upto - F.col("chars")).alias("before"), *ends)
+    short = max(min_chars, 1) - 1
+    last = F.max("pos").over(island.orderBy("before").rangeBetween(0, short)) if min_chars > 0 else F.col("pos")
+    first = F.min("pos").over(island.orderBy("upto").rangeBetween(-short, 0)) if min_chars > 0 else F.col("pos")
+    more = max(min_lines, 1) - 1
+    rows = rows.withColumns({"last": F.greatest(last, F.col("pos") + more), "first": F.least(first, F.col("pos") - more)})
+    onward = rows.where((F.col("all") - F.col("before") >= min_chars) & (F.col("last") <= F.col("most"))).select(*_DOC, F.col("pos").alias("at"), F.col("last").alias("to"))
+    back = rows.where((F.col("upto") >= min_chars) & (F.col("first") >= F.col("least"))).select(*_DOC, F.col("first").alias("at"), F.col("pos").alias("to"))
+    return onward.unionByName(back).distinct().withColumn("n", F.col("to") - F.col("at") + 1)
+
+
+def _later_runs(ranked: DataFrame, min_lines: int, min_chars: int) -> DataFrame:
+    """(id, print, at, to): the runs of _shortest_runs that occurred earlier, from ranks by one line."""
+    runs = saved(_shortest_runs(ranked, min_lines, min_chars))
+    longest = runs.agg(F.max("n")).first()[0] or 0
+    later = runs.select(*_DOC, "at", "to").limit(0)
+    depth = 1
+    while depth <= longest:
+        # n lines are told by the ranks of their first and of their last ``depth`` lines
+        these = runs.where(F.col("n").between(depth, 2 * depth - 1))
+        for name, place in (("head", F.col("at")), ("tail", F.col("to") - (depth - 1))):
+            ranks = ranked.select(F.col("id").alias("i"), F.col("print").alias("p"), F.col("pos"), F.col("rank").alias(name))
+            these = these.join(ranks, F.col("id").eqNullSafe(F.col("i")) & (F.col("print") == F.col("p")) & (place == F.col("pos"))).drop("i", "p", "pos")
+        same = these.groupBy("n", "head", "tail").agg(F.count("*").alias("places"), F.min(F.struct(*_DOC, "at")).alias("first")).where("places > 1")
+        found = these.join(same, ["n", "head", "tail"]).where(F.col("first") < F.struct(*_DOC, "at"))
+        later = later.unionByName(found.select(*_DOC, "at", "to"))
+        if 2 * depth > longest:
+            break
+        # only lines within longer runs are ranked deeper
+        within = _merged(runs.where(F.col("n") >= 2 * depth)).select(F.col("id").alias("i"), F.col("print").alias("p"), F.explode(F.sequence("at", "to")).alias("place"))
+        inside = ranked.join(within, F.col("id").eqNullSafe(F.col("i")) & (F.col("print") == F.col("p")) & (F.col("pos") == F.col("place")), "left_semi")
+        ranked = saved(_doubled(inside, depth))
+        depth *= 2
+    return later
+
+
+def later_copies(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = MIN_LINES, min_chars: int = MIN_CHARS, long_line: int = LONG_LINE, whole_runs: bool = False
+) -> DataFrame:
     """(id, print, deleted): for each document with lines to delete, their places from 0. Documents go by id, then hash of text."""
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("print"), F.posexplode(_lines(F.col(text_col))).alias("pos", "line"))
     lines = saved(rows.select(*_DOC, "pos", F.xxhash64("line").alias("l1"), F.hash("line").alias("l2"), F.length("line").alias("chars")))
     me = F.struct(*_DOC, "pos")
     ranked = saved(_first_ranks(lines.distinct()))
-    later = ranked.where((F.col("chars") >= long_line) & (F.col("first") < me)).select(*_DOC, F.col("pos").alias("at"), F.lit(1).alias("n"))
+    later = ranked.where((F.col("chars") >= long_line) & (F.col("first") < me)).select(*_DOC, F.col("pos").alias("at"), F.col("pos").alias("to"))
+    if whole_runs:
+        later = later.unionByName(_later_runs(ranked, min_lines, min_chars))
 
     depth = 1
-    while depth < min_lines and min_lines > 1:
+    while depth < min_lines and not whole_runs:
         ranked = saved(_doubled(ranked, min(depth, min_lines - depth)))
         depth = min(2 * depth, min_lines)
-    if min_lines > 1:
+    if min_lines > 1 and not whole_runs:
         sizes = lines.select(*_DOC, "pos", "chars").distinct().withColumn("all", F.sum("chars").over(Window.partitionBy(*_DOC).orderBy("pos").rangeBetween(0, min_lines - 1)))
         starts = ranked.where(F.col("first") < me).select(*_DOC, "pos").join(sizes.where(F.col("all") >= min_chars).select(*_DOC, "pos"), [*_DOC, "pos"])
-        later = later.unionByName(starts.select(*_DOC, F.col("pos").alias("at"), F.lit(min_lines).alias("n")))
-    places = later.select(*_DOC, F.explode(F.sequence("at", F.expr("at + n - 1"))).alias("pos"))
+        later = later.unionByName(starts.select(*_DOC, F.col("pos").alias("at"), (F.col("pos") + (min_lines - 1)).alias("to")))
+    places = _merged(later).select(*_DOC, F.explode(F.sequence("at", "to")).alias("pos"))
     return places.groupBy(*_DOC).agg(F.collect_set("pos").alias("deleted"))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = MIN_LINES, min_chars: int = MIN_CHARS, long_line: int = LONG_LINE) -> DataFrame:
+def dedup_lines(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_lines: int = MIN_LINES, min_chars: int = MIN_CHARS, long_line: int = LONG_LINE, whole_runs: bool = False
+) -> DataFrame:
     """``docs`` with ``text_col`` cleaned, and n_lines and n_deleted (long).
 
     Deleted are the lines of every run of ``min_lines`` lines with ``min_chars`` characters or more that occurred earlier,
     in order of id and place, and single lines of ``long_line`` characters that did. A text all of whose lines go is empty.
+    With ``whole_runs`` these are runs of ``min_lines`` or more lines that have ``min_chars`` characters together; the
+    queries use this. Without it each ``min_lines`` neighbouring lines need that many.
 
     - A null text stays null, with 0 lines; an empty text has one empty line. Null ids are rows like others, and first.
     - Rows of equal id and text are one document: they keep and lose the same lines. Other rows of one id are ordered
       by the hash of their texts. Very long texts are taken whole; an empty table gives an empty result.
     - Columns of ``docs`` named n_lines or n_deleted give way to the new ones; others stay, whatever their names.
     """
-    found = saved(later_copies(docs, id_col, text_col, min_lines, min_chars, long_line))
+    found = saved(later_copies(docs, id_col, text_col, min_lines, min_chars, long_line, whole_runs))
     rows, names = masked(docs)
     text = F.col(names[text_col])
     joined = join_checked(rows, found, F.col(names[id_col]).eqNullSafe(F.col("id")) & (F.xxhash64(text) == F.col("print")), "left")

@@ -48,7 +48,7 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.dedup_lines(_read(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_deleted")
+    return line_dedup.dedup_lines(_read(spark, sf_dir, "documents"), whole_runs=True).select("doc_id", "text", "n_lines", "n_deleted")
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
