@@ -1,4 +1,4 @@
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -145,3 +145,18 @@ def test_json_documents(spark, tmp_path):
         parsers.read_chart_json(spark, written(tmp_path, "c.json", chart % "null"))
     with pytest.raises(parsers.PayloadError):
         parsers.within(parsers.read_observations_json(spark, path), "2024-02-01", "2024-02-28")
+
+
+def test_outer_chain_joins_all_series(spark, tmp_path):
+    from tidemark.plans.queries import QUERIES
+    from tidemark.sources.fixtures import bars_by_nation
+
+    # nation n has the days n and 40 + n // 5, so days of one series alone and shared ones
+    orders = [(10 * n + k, n, datetime(1995, 1, 1) + timedelta(days=d), 100.0 * n + k) for n in range(25) for k, d in enumerate((n, n, 40 + n // 5))]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderdate timestamp, o_totalprice double").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(n, n) for n in range(25)], "c_custkey long, c_nationkey int").write.parquet(f"{tmp_path}/customer.parquet")
+    out = QUERIES["gold_full_outer_chain_all"](spark, str(tmp_path))
+    wide = frames.gold_wide(bars_by_nation(spark, str(tmp_path)), list(IDS), list(OHLC))
+    assert out.columns == wide.columns and len(out.columns) == 1 + 25 + 4 * len(OHLC)
+    rows = sorted(map(tuple, out.collect()))
+    assert len(rows) == 30 and rows == sorted(map(tuple, wide.collect()))

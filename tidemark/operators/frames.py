@@ -77,10 +77,12 @@ def gold_wide(bars: DataFrame, ids: list[str], ohlc_ids: list[str]) -> DataFrame
     return bars.groupBy("observation_date").agg(*cells)
 
 
-def gold_outer_chain(bars: DataFrame, ids: list[str]) -> DataFrame:
-    """The levels of gold_wide by full outer joins with coalesced keys, for a few series."""
-    parts = [bars.where(F.col("series_id") == s).select("observation_date", F.col("level").alias(f"{s}_level")) for s in ids]
-    return reduce(lambda a, b: a.join(b, "observation_date", "full_outer"), parts)
+def gold_outer_chain(bars: DataFrame, ids: list[str], ohlc_ids: tuple[str, ...] | list[str] = ()) -> DataFrame:
+    """The cells of gold_wide by full outer joins with coalesced keys. A date that only other series have is absent."""
+    cells = {s: ["level", *(("open", "high", "low", "close") if s in ohlc_ids else ())] for s in ids}
+    parts = [bars.where(F.col("series_id") == s).select("observation_date", *[F.col(x).alias(f"{s}_{x}") for x in xs]) for s, xs in cells.items()]
+    order = [f"{s}_level" for s in ids] + [f"{s}_{x}" for s in ids if s in ohlc_ids for x in ("open", "high", "low", "close")]
+    return reduce(lambda a, b: a.join(b, "observation_date", "full_outer"), parts).select("observation_date", *order)
 
 
 def long_form(wide: DataFrame, keys: list[str], values: list[str]) -> DataFrame:

@@ -157,6 +157,12 @@ def gold_full_outer_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frames.gold_outer_chain(bars_by_nation(spark, sf_dir), list(IDS[:6]))
 
 
+@register("gold_full_outer_chain_all", f"WITH {O.BARS2} SELECT observation_date, {_WIDE} FROM b GROUP BY observation_date")
+def gold_full_outer_chain_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bars = bars_by_nation(spark, sf_dir).repartition("observation_date").persist()  # read by each of the joins
+    return frames.gold_outer_chain(bars, list(IDS), list(OHLC))
+
+
 _X = {s: f"max(level) FILTER (series_id = '{s}')" for s in IDS}
 _CROSS = f"WITH {O.BARS2}, x AS (SELECT observation_date, {', '.join(f'{v} AS {s}' for s, v in _X.items())} FROM b GROUP BY observation_date)"
 
