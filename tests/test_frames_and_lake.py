@@ -160,3 +160,29 @@ def test_outer_chain_joins_all_series(spark, tmp_path):
     assert out.columns == wide.columns and len(out.columns) == 1 + 25 + 4 * len(OHLC)
     rows = sorted(map(tuple, out.collect()))
     assert len(rows) == 30 and rows == sorted(map(tuple, wide.collect()))
+
+
+def test_whole_catalog_is_counted_and_verified(spark, tmp_path):
+    from tidemark.plans.queries import QUERIES
+
+    n = 70  # rising days of all 25 series
+    orders = [(n * s + d, s, datetime(1995, 1, 1) + timedelta(days=d), 1000.0 + 10 * s + d + (d % 7) ** 2) for s in range(25) for d in range(n)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderdate timestamp, o_totalprice double").coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(s, s) for s in range(25)], "c_custkey long, c_nationkey int").coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    long = QUERIES["macro_features_long"](spark, str(tmp_path)).toPandas()
+    published = long["feature_name"].value_counts().to_dict()
+    counts = {r["feature_name"]: r["n_rows"] for r in QUERIES["macro_feature_counts_all"](spark, str(tmp_path)).collect()}
+    assert counts == published and set(counts) <= {s.name for s in catalog.CATALOG} and len(counts) > 1000
+    for s in IDS:
+        if s != "estr":
+            assert counts[f"{s}_log_level"] == n and all(counts[f"{s}_{f}_{k}obs"] == n - k for f in ("log_return", "roc") for k in (5, 8))
+    assert counts["vix_delta_20obs"] == n - 20 and counts["estr_delta_1obs"] == n - 1 and all(counts[c] == n for c in catalog.CROSS)
+    gone = long[long["feature_name"].str.endswith("_roc_8obs") & (long["observation_date"].map(lambda d: d.day) == 13)]["feature_name"].value_counts().to_dict()
+    found = {r["feature"]: (r["expected"], r["actual"]) for r in QUERIES["feature_count_diff_all"](spark, str(tmp_path)).collect()}
+    assert len(gone) == 24 and found == {f: (counts[f], counts[f] - k) for f, k in gone.items()}
+    profile = {r["feature"]: r["coverage"] for r in QUERIES["feature_profile_all"](spark, str(tmp_path)).collect()}
+    assert profile == {f: round(k / n, 6) for f, k in counts.items()}
+    assert {r["violations"] for r in QUERIES["conformance_report_all"](spark, str(tmp_path)).collect()} == {0}
+    report = QUERIES["population_verify_all"](spark, str(tmp_path)).first()
+    assert (report["expected_rows"], report["expected_features"], report["n_different"]) == (len(long), len(counts), 24)
+    assert report["actual_rows"] == len(long) - sum(gone.values())
