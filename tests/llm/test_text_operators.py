@@ -320,6 +320,30 @@ def test_classifier_on_held_out(spark, make_docs):
     assert cotraining.classify(make_docs([]), labels).count() == 0
 
 
+def test_classifier_learns_from_all_unlabelled(make_docs, monkeypatch):
+    n = 6_600
+    rows = [(i, junk(i)[:300] if i % 3 == 0 else prose(i, 25), "bad" if i % 3 == 0 else "fine") for i in range(n)]
+    docs = make_docs(rows).repartition(4)
+    labels = docs.where("doc_id < 400").selectExpr("doc_id", "int(doc_id % 3 <> 0) as quality")
+    models, seen = [], []
+    co_train, summed = cotraining.co_train, cotraining._summed
+    monkeypatch.setattr(cotraining, "co_train", lambda *args: models.append(co_train(*args)) or models[-1])
+
+    def checked(pool, rounds, weights):
+        out = summed(pool, rounds, weights)
+        if not seen:  # the sums over the table are those over all its rows
+            views = [np.stack([np.asarray(r[c], float) for r in pool.collect()]) for c in ("t", "m")]
+            seen.append(len(views[0]))
+            np.testing.assert_allclose(out, cotraining.pool_slopes(tuple(views), rounds, weights), rtol=1e-6, atol=1e-6)
+        return out
+
+    monkeypatch.setattr(cotraining, "_summed", checked)
+    out = cotraining.classify(docs, labels).collect()
+    assert len(out) == n and seen == [n - 400]
+    assert min(models[0].taken) > 0.95 * (n - 400)  # once 1,600 of 6,000 at most
+    assert sum(r["kept"] == bool(r["doc_id"] % 3) for r in out) >= 0.98 * n
+
+
 # secrets
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)

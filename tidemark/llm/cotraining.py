@@ -5,12 +5,14 @@ language and length class. Each is a logistic regression. Over a few rounds each
 is sure of, as measured on held-out labels, for the other to learn from. The calibrated views are then combined by a
 logistic regression on held-out labels, and the result scores every document.
 
-Only a bounded sample of labelled and unlabelled rows is gathered for the fit: LABELLED_ROWS and POOL_ROWS.
+Only a bounded sample of labelled rows is gathered: LABELLED_ROWS. All unlabelled documents take part in each round where
+they are: which of them a view is sure of follows from its earlier weights, and their part in a step of the fit is a sum of
+gradients and curvatures, whose size doesn't depend on the table.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,13 +23,14 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import words
 from tidemark.llm.quality_rules import FEATURES, text_counts
+from tidemark.llm.tables import join_checked, saved
 
-#: Rows that the fit gathers at most: labelled documents, and unlabelled ones for pseudo-labels, by smallest hash of id.
-LABELLED_ROWS, POOL_ROWS = 12_000, 6_000
+#: Labelled rows that the fit gathers at most, by smallest hash of id.
+LABELLED_ROWS = 12_000
 #: Buckets of hashed word shapes, and of hashed metadata values.
 SHAPES, VALUES = 64, 64
-#: Rounds, documents that a view labels in a round at most, and how sure it must be.
-ROUNDS, PER_ROUND, SURE = 4, 400, 0.97
+#: Rounds, how sure a view must be to label a document, and what its labels of a class weigh in all, at most, to those given.
+ROUNDS, SURE, SHARE = 4, 0.97, 0.2
 
 
 def text_view(texts: pa.Array) -> np.ndarray:
@@ -85,57 +88,127 @@ def logit(x: np.ndarray, w: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Model:
-    """Weights of the two views, and of their logits and the intercept in the score."""
+    """Weights of the two views, and of their logits and the intercept in the score; unlabelled documents that each learnt from."""
 
     text: np.ndarray
     metadata: np.ndarray
     together: np.ndarray
+    taken: tuple[int, ...] = (0, 0)
 
     def scores(self, text: np.ndarray, metadata: np.ndarray) -> np.ndarray:
         views = np.column_stack([np.clip(logit(text, self.text), -12, 12), np.clip(logit(metadata, self.metadata), -12, 12)])
         return _sigmoid(logit(views, self.together))
 
 
-def co_train(text: np.ndarray, metadata: np.ndarray, y: np.ndarray, pool_text: np.ndarray, pool_metadata: np.ndarray) -> Model:
-    """The model from labelled rows and a pool of unlabelled ones; each third labelled row is held out for calibration."""
+#: Weights of both views and of their calibrations after a round.
+Round = tuple[list[np.ndarray], list[np.ndarray]]
+
+
+def pseudo_labels(views: tuple[np.ndarray, np.ndarray], rounds: list[Round]) -> list[np.ndarray]:
+    """For each view, the labels (NaN if none) that the other one gave to rows, each in the first round in which it was sure."""
+    out = [np.full(len(x), np.nan) for x in views]
+    for weights, scales in rounds:
+        for i, x in enumerate(views):
+            p = _sigmoid(logit(logit(x, weights[i])[:, None], scales[i]))
+            sure = (np.maximum(p, 1 - p) >= SURE) & np.isnan(out[1 - i])
+            out[1 - i][sure] = p[sure] > 0.5
+    return out
+
+
+def slopes(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Rows, gradient and curvature of the loss at ``w``, in one array."""
+    x = np.column_stack([x, np.ones(len(x))])
+    p = _sigmoid(x @ w)
+    return np.concatenate([[len(x)], x.T @ (p - y), (x.T @ (x * np.maximum(p * (1 - p), 1e-6)[:, None])).ravel()])
+
+
+def pool_slopes(views: tuple[np.ndarray, np.ndarray], rounds: list[Round], weights: list[np.ndarray]) -> np.ndarray:
+    """slopes of the rows that have pseudo-labels, of each view and class, end to end."""
+    parts = []
+    for x, label, w in zip(views, pseudo_labels(views, rounds), weights, strict=True):
+        parts += [slopes(x[label == c], np.full((label == c).sum(), float(c)), w) for c in (0, 1)]
+    return np.concatenate(parts)
+
+
+def fit_with_pool(own: list[tuple[np.ndarray, np.ndarray]], start: list[np.ndarray], summed: Callable[[list[np.ndarray]], np.ndarray], penalty: float = 1.0, steps: int = 12) -> tuple[list[np.ndarray], tuple[int, ...]]:
+    """Weights of both views from their labelled rows and the pool's slopes, and the pool's rows in them, by Newton's method."""
+    weights, taken = start, (0, 0)
+    for _ in range(steps):
+        pool, at, moved, after, rows = summed(weights), 0, 0.0, [], []
+        for (x, y), w in zip(own, weights, strict=True):
+            d = len(w)
+            keep = np.full(d, penalty)
+            keep[-1] = 1e-6
+            total, n = slopes(x, y, w), 0
+            for c in (0, 1):
+                part = pool[at : at + 1 + d + d * d]
+                at += len(part)
+                n += int(part[0])
+                total = total + part * min(1.0, SHARE * (y == c).sum() / max(part[0], 1))
+            step = np.linalg.solve(total[1 + d :].reshape(d, d) + np.diag(keep), total[1 : 1 + d] + keep * w)
+            step *= min(1.0, 5 / max(np.abs(step).max(), 1e-12))
+            after.append(w - step)
+            rows.append(n)
+            moved = max(moved, np.abs(step).max())
+        weights, taken = after, tuple(rows)
+        if moved < 1e-5:
+            break
+    return [np.round(w, 9) for w in weights], taken  # sums differ in their last digits with the order of tasks
+
+
+def co_train(text: np.ndarray, metadata: np.ndarray, y: np.ndarray, summed: Callable[[list[Round], list[np.ndarray]], np.ndarray]) -> Model:
+    """The model from labelled rows and pool_slopes summed over the unlabelled ones; each third labelled row is held out for calibration."""
     held = np.arange(len(y)) % 3 == 2
     if not 0 < y[held].sum() < held.sum() or not 0 < y[~held].sum() < (~held).sum():
         held = np.zeros(len(y), bool)  # too few labels to hold any out
     check = held if held.any() else ~held
-    views = [(text, pool_text), (metadata, pool_metadata)]
-    own = [[(x[~held], y[~held])] for x, _ in views]
-    weights, taken = [], [np.zeros(len(pool_text), bool) for _ in views]
-    for turn in range(ROUNDS + 1):
-        weights = [fit_logistic(np.concatenate([x for x, _ in rows]), np.concatenate([t for _, t in rows]), penalty=1.0) for rows in own]
-        if turn == ROUNDS:
-            break
-        for i, (x, pool) in enumerate(views):
-            if not len(pool):
-                continue
-            scale = fit_logistic(logit(x[check], weights[i])[:, None], y[check], penalty=0.1)
-            p = _sigmoid(logit(logit(pool, weights[i])[:, None], scale))
-            sure = np.flatnonzero((np.maximum(p, 1 - p) >= SURE) & ~taken[1 - i])
-            sure = sure[np.argsort(-np.abs(p[sure] - 0.5), kind="stable")][:PER_ROUND]
-            taken[1 - i][sure] = True
-            own[1 - i].append((views[1 - i][1][sure], (p[sure] > 0.5).astype(float)))
-    z = np.column_stack([np.clip(logit(x[check], w), -12, 12) for (x, _), w in zip(views, weights, strict=True)])
-    return Model(*weights, fit_logistic(z, y[check], penalty=0.1))
+    views = (text, metadata)
+    own = [(x[~held], y[~held]) for x in views]
+    weights, taken, rounds = [fit_logistic(x, t, penalty=1.0) for x, t in own], (0, 0), []
+    for _ in range(ROUNDS):
+        rounds.append((weights, [fit_logistic(logit(x[check], w)[:, None], y[check], penalty=0.1) for x, w in zip(views, weights, strict=True)]))
+        weights, taken = fit_with_pool(own, weights, lambda w: summed(rounds, w))
+    z = np.column_stack([np.clip(logit(x[check], w), -12, 12) for x, w in zip(views, weights, strict=True)])
+    return Model(*weights, fit_logistic(z, y[check], penalty=0.1), taken)
 
 
 def _views(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return text_view(batch.column("text")), metadata_view([batch.column(c) for c in batch.schema.names if c.startswith("m_")])
 
 
-def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in words.steps(batches, "text"):
-        arrays = [pa.array(v.astype(np.float32).tolist(), pa.list_(pa.float32())) for v in _views(batch)]
-        yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("good"), *arrays], ["id", "good", "t", "m"])
+        arrays = []
+        for x in _views(batch):
+            flat = pa.array(x.astype(np.float32).ravel())
+            arrays.append(pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]), flat))
+        yield pa.RecordBatch.from_arrays([batch.column("id"), *arrays], ["id", "t", "m"])
+
+
+def _stored(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    return tuple(batch.column(c).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1).astype(float) for c in ("t", "m"))
+
+
+def _summed(pool: DataFrame, rounds: list[Round], weights: list[np.ndarray]) -> np.ndarray:
+    """pool_slopes over all rows of ``pool``, added up by the executors."""
+    size = 2 * sum(1 + len(w) + len(w) ** 2 for w in weights)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size)
+        for batch in batches:
+            if batch.num_rows:
+                total += pool_slopes(_stored(batch), rounds, weights)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
+
+    parts = pool.mapInArrow(run, "sums binary").rdd
+    return parts.treeAggregate(np.zeros(size), lambda a, row: a + np.frombuffer(row[0]), lambda a, b: a + b)
 
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", metadata_cols: tuple[str, ...] = ("source", "lang", "n_chars"), label_col: str = "quality") -> DataFrame:
     """One row for each row of ``docs``: ``id_col``, score (0 to 1, six decimals), kept (score of at least 0.5).
 
     - Null or empty texts and null metadata have features like others and get a score.
+    - Every document without a label, null ids and repeated rows too, can get one from a view that is sure of it.
     - Null labels are left out; an id with several labels is good if one of them is. Without labels of both kinds every
       score is 0.5. Null ids and repeated rows are rows like others; an empty table gives an empty result.
     - Very long texts are taken whole. Other columns of ``docs``, whatever their names, are not looked at.
@@ -143,22 +216,24 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     columns = [F.col(id_col).alias("id"), F.col(text_col).alias("text"), *[F.col(c).alias(f"m_{i}") for i, c in enumerate(metadata_cols)]]
     rows = docs.select(*columns)
     marks = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("double").alias("good"))
-    order = [F.xxhash64("id"), "id"]
-    chosen = marks.orderBy(*order).limit(LABELLED_ROWS)
-    pool = rows.select("id").where("id is not null").join(marks, "id", "left_anti").distinct().orderBy(*order).limit(POOL_ROWS).withColumn("good", F.lit(None).cast("double"))
-    sample = rows.join(F.broadcast(chosen.unionByName(pool)), "id")  # LABELLED_ROWS + POOL_ROWS rows at most
-    found = sample.mapInArrow(_gathered, f"id {rows.schema['id'].dataType.simpleString()}, good double, t array<float>, m array<float>").toPandas()
-    found = found.assign(key=[x.tobytes() for x in found["t"].map(np.asarray)]).sort_values(["id", "key"]).drop_duplicates("id")
-    marked = found["good"].notna().to_numpy()
-    y = (found["good"][marked] > 0).to_numpy(float)
+    marks = saved(marks)
+    kind = rows.schema["id"].dataType.simpleString()
+    featured = rows.mapInArrow(_featured, f"id {kind}, t array<float>, m array<float>")
+    featured = saved(join_checked(featured, marks, "id", "left"))  # each text is read once
+    chosen = marks.orderBy(F.xxhash64("id"), "id").limit(LABELLED_ROWS)
+    found = featured.drop("good").join(F.broadcast(chosen), "id").toPandas()  # LABELLED_ROWS rows at most, but for repeated ids
+    found = found.assign(key=[np.asarray(x).tobytes() for x in found["t"]]).sort_values(["id", "key"]).drop_duplicates("id")
+    y = (found["good"] > 0).to_numpy(float)
     if not 0 < y.sum() < len(y):
         return rows.select(F.col("id").alias(id_col), F.lit(0.5).alias("score"), F.lit(True).alias("kept"))
     text, metadata = (np.stack(found[c].tolist()).astype(float) for c in ("t", "m"))
-    model = co_train(text[marked], metadata[marked], y, text[~marked], metadata[~marked])
+    pool = featured.where("good is null").select("t", "m")
+    model = co_train(text, metadata, y, lambda rounds, weights: _summed(pool, rounds, weights))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in words.steps(batches, "text"):
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(np.round(model.scores(*_views(batch)), 6))], ["id", "score"])
+        for batch in batches:
+            scores = model.scores(*_stored(batch)) if batch.num_rows else np.zeros(0)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(np.round(scores, 6))], ["id", "score"])
 
-    scored = rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, score double")
+    scored = featured.select("id", "t", "m").mapInArrow(run, f"id {kind}, score double")
     return scored.select(F.col("id").alias(id_col), "score", (F.col("score") >= 0.5).alias("kept"))
