@@ -83,6 +83,15 @@ def test_keep_one(make_docs):
     assert ids.count(None) == 2
 
 
+def test_keep_one_where_texts_of_an_id_differ(make_docs):
+    a, b, c, d, e = (prose(700 + i, 80) for i in range(5))
+    near = a.replace(a.split()[40], "other", 1)
+    rows = [(1, a), (1, b), (2, near), (0, b), (3, c), (3, c), (5, d), (5, e), (5, e), (6, e), (7, None), (7, d), (None, a)]
+    kept = keep_one(make_docs(rows, clashes=True).repartition(3))
+    found = sorted((r["doc_id"] if r["doc_id"] is not None else -1, r["text"] or "") for r in kept.collect())
+    assert found == sorted([(1, a), (0, b), (3, c), (5, d), (5, e), (7, ""), (-1, a)])
+
+
 @pytest.mark.parametrize("links", [[], [(1, 1)], [(i, i + 1) for i in range(40)], [(0, i) for i in range(1, 50)] + [(100, 101), (101, 100)]])
 def test_components(spark, links):
     df = spark.createDataFrame(links, "a long, b long")

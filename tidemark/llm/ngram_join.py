@@ -184,17 +184,38 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select(F.col("id").alias(id_col), n.alias("n_shingles"), F.when(n == 0, F.col("id")).otherwise(F.coalesce("component", "node")).alias("component_id"))
 
 
+def _one_of_each(rows: DataFrame, keys: list[Column]) -> DataFrame:
+    """The row of each combination of ``keys`` whose hash is least, so that it is the same one in each run."""
+    hashed = F.xxhash64(*[F.col(c) for c, kind in rows.dtypes if "map<" not in kind])
+    return rows.groupBy(*[k.alias(f"key{i}") for i, k in enumerate(keys)]).agg(F.min_by(F.struct("*"), hashed).alias("row")).select("row.*")
+
+
+def _keep_texts(rows: DataFrame, key: Column, text: Column, width: int, percent: int) -> DataFrame:
+    """keep_one where texts of one id differ: each (id, text) is a node; of a component the one of least id and MD5 stays."""
+    mine = F.unhex(F.md5(text))
+    nodes = saved(saved(rows.select(key.alias("id"), mine.alias("print")).distinct()).withColumn("node", F.monotonically_increasing_id()))
+    same = key.eqNullSafe(F.col("id")) & mine.eqNullSafe(F.col("print"))
+    numbered = join_checked(rows, nodes, same, "inner").select("node", text.alias("text"))
+    found = near_duplicates(numbered, "node", "text", width, percent).select("node", F.col("component_id").alias("component"))
+    best = found.join(nodes, "node").groupBy("component").agg(F.min(F.struct("id", "print")).alias("best"))
+    return _one_of_each(join_checked(rows, saved(best.select("best.*")), same, "left_semi"), [key, mine])
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 75) -> DataFrame:
     """``docs`` with the document of the smallest id of each group of near duplicates; rows without an id stay.
 
-    Of an id on several rows one row stays. Other cases as in near_duplicates; all columns stay, whatever their names.
+    Of an id on several rows of one text one row stays. Different texts of an id are documents of their own, ordered by
+    MD5. Other cases as in near_duplicates; all columns stay, whatever their names.
     """
-    found = saved(near_duplicates(docs, id_col, text_col, width, percent).toDF("id", "n", "component"))
     rows, names = masked(docs)
-    key = F.col(names[id_col])
+    key, text = F.col(names[id_col]), F.col(names[text_col])
+    again = saved(rows.where(key.isNotNull()).groupBy(key.cast("long").alias("id"), F.md5(text).alias("print")).agg(F.count("*").alias("n")).groupBy("id").agg(F.sum("n").alias("n"), F.count("*").alias("texts")).where("n > 1"))
+    if not again.where("texts > 1").isEmpty():
+        return _keep_texts(rows.where(key.isNotNull()), key, text, width, percent).unionByName(rows.where(key.isNull())).select(unmasked(names))
+    found = saved(near_duplicates(docs, id_col, text_col, width, percent).toDF("id", "n", "component"))
     left = join_checked(rows, found.where("id <> component").select("id"), key == F.col("id"), "left_anti")
-    again = saved(rows.where(key.isNotNull()).groupBy(key.cast("long").alias("id")).agg(F.count("*").alias("n")).where("n > 1").select("id"))
+    again = again.select("id")
     if not again.isEmpty():
-        repeated = join_checked(left, again, key == F.col("id"), "left_semi").dropDuplicates([names[id_col]])
+        repeated = _one_of_each(join_checked(left, again, key == F.col("id"), "left_semi"), [key])
         left = join_checked(left, again, key == F.col("id"), "left_anti").unionByName(repeated)
     return left.select(unmasked(names))
