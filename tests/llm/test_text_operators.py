@@ -172,41 +172,6 @@ def test_mixing(make_docs):
 # line dedup
 
 
-def clean(rows, min_lines=2, min_chars=40, long_line=60):
-    """{(id, text): cleaned text}, by looking up each line and window among all earlier ones."""
-    from_spark = sorted({(r[0], r[1]) for r in rows if r[1] is not None}, key=lambda r: (r[0] is not None, r[0] or 0))
-    seen, out = set(), {}
-    for doc_id, text in from_spark:
-        lines, gone, new = text.split("\n"), set(), []
-        for p in range(len(lines)):
-            if len(lines[p]) >= long_line and (lines[p],) in seen:
-                gone.add(p)
-            seen.add((lines[p],))
-            if p + min_lines <= len(lines) and min_lines > 1:
-                window = tuple(lines[p : p + min_lines])
-                if sum(map(len, window)) >= min_chars and window in seen:
-                    gone |= set(range(p, p + min_lines))
-                seen.add(window)
-        out[doc_id, text] = "\n".join(line for p, line in enumerate(lines) if p not in gone), len(gone)
-    return out
-
-
-@pytest.mark.parametrize("min_lines", [1, 2, 3, 4, 5])
-def test_line_dedup(make_docs, min_lines):
-    pool = [prose(i, 1 + i % 12) for i in range(12)] + [""]
-    rnd = np.random.default_rng(min_lines)
-    rows = [(i, "\n".join(pool[j] for j in rnd.integers(0, len(pool), rnd.integers(1, 15)))) for i in range(60)]
-    rows += [(100, "x\n" * 5_000 + "end"), (101, None), (102, ""), (103, "\n\n\n"), (104, rows[3][1]), (104, rows[3][1]), (None, rows[4][1])]
-    docs = make_docs(rows, clashes=True)
-    out = line_dedup.dedup_lines(docs, min_lines=min_lines)
-    assert out.columns == [*docs.columns, "n_lines", "n_deleted"]
-    expected = clean(rows, min_lines)
-    found = collections.Counter((r["doc_id"], r["text"], r["n_lines"], r["n_deleted"]) for r in out.collect())
-    want = collections.Counter((i, None, 0, 0) if t is None else (i, expected[i, t][0], t.count("\n") + 1, expected[i, t][1]) for i, t in rows)
-    assert found == want
-    assert line_dedup.dedup_lines(make_docs([])).count() == 0
-
-
 def clean_runs(rows, min_lines=2, min_chars=40, long_line=60):
     """{(id, text): (cleaned text, lines deleted)}, by following each line's longest run that occurs from an earlier line on."""
     texts = sorted({(r[0], r[1]) for r in rows if r[1] is not None}, key=lambda r: (r[0] is not None, r[0] or 0))
@@ -229,24 +194,27 @@ def clean_runs(rows, min_lines=2, min_chars=40, long_line=60):
     return out
 
 
-@pytest.mark.parametrize("min_lines", [1, 2, 3, 5])
-def test_line_dedup_of_whole_runs(make_docs, min_lines):
+@pytest.mark.parametrize("min_lines", [1, 2, 4])
+def test_line_dedup(make_docs, min_lines):
     pool = [*(prose(i, 1 + i % 4) for i in range(6)), prose(7, 12), ""]
     rnd = np.random.default_rng(min_lines)
     song = [f"la {i}" for i in range(30)]  # each two lines have 10 characters
     rows = [(i, "\n".join(pool[j] for j in rnd.integers(0, len(pool), rnd.integers(1, 20)))) for i in range(50)]
     rows += [(100, "\n".join(["intro", *song, "end"])), (101, "\n".join(["other", *song[3:25], "last"])), (102, "\n".join(song[:7])), (103, "\n".join([*song[10:14], "b", *song[20:24]]))]
     rows += [(110, "x\n" * 90 + "end"), (111, "first" + "\n" * 40 + "a word"), (112, ("first" + "\n" * 40 + "a word\n") * 5), (113, None), (114, ""), (115, "\n\n\n")]
-    rows += [(None, "\n".join([f"so {i}" for i in range(12)] * 2)), (116, rows[3][1]), (116, rows[3][1])]
-    out = line_dedup.dedup_lines(make_docs(rows, clashes=True), min_lines=min_lines, whole_runs=True)
+    rows += [(None, "\n".join([f"so {i}" for i in range(12)] * 2)), (116, rows[3][1]), (116, rows[3][1]), (-1, rows[3][1]), (-1, rows[3][1])]
+    rows += [(120 + i, ["short", "y" * 70, "z" * 45][i % 3]) for i in range(9)]
+    docs = make_docs(rows, clashes=True)
+    out = line_dedup.dedup_lines(docs, min_lines=min_lines)
+    assert out.columns == [*docs.columns, "n_lines", "n_deleted"]
     expected = clean_runs(rows, min_lines)
     found = collections.Counter((r["doc_id"], r["text"], r["n_lines"], r["n_deleted"]) for r in out.collect())
     assert found == collections.Counter((i, None, 0, 0) if t is None else (i, expected[i, t][0], t.count("\n") + 1, expected[i, t][1]) for i, t in rows)
     assert expected[101, rows[51][1]] == ("other\nlast", 22)
-    assert line_dedup.dedup_lines(make_docs([]), whole_runs=True).count() == 0
+    assert line_dedup.dedup_lines(make_docs([])).count() == 0
 
 
-def test_line_dedup_query_takes_whole_runs(spark, make_docs, tmp_path):
+def test_line_dedup_of_short_lines(spark, make_docs, tmp_path):
     from tidemark.llm.queries import op8_line_dedup
 
     song = "\n".join(f"la {i}" for i in range(30))
@@ -254,6 +222,38 @@ def test_line_dedup_query_takes_whole_runs(spark, make_docs, tmp_path):
     assert {(r["doc_id"], r["n_deleted"]) for r in op8_line_dedup(spark, str(tmp_path)).collect()} == {(1, 0), (2, 30)}
 
 
+def test_line_dedup_of_a_very_long_text(make_docs):
+    out = line_dedup.dedup_lines(make_docs([(1, "x\n" * 5_000 + "end"), (2, "y\n" + "x\n" * 3_000 + "end"), (3, "x\n" * 38 + "z")]))
+    assert {r["doc_id"]: r["text"] for r in out.collect()} == {1: "x\nend", 2: "y", 3: "x\n" * 38 + "z"}
+
+
+def test_maximal_runs(make_docs):
+    rnd = np.random.default_rng(5)
+    pool = [f"l{i}" for i in range(5)]
+    texts = ["\n".join(pool[j] for j in rnd.integers(0, 5, rnd.integers(1, 40))) for _ in range(25)]
+    texts = list(dict.fromkeys(texts))
+    split = [t.split("\n") for t in texts]
+    expected = set()
+    for d, lines in enumerate(split):
+        ends = []
+        for p in range(len(lines)):
+            n = 0
+            for e in range(d + 1):
+                for q in range(len(split[e]) if e < d else p):
+                    k = 0
+                    while p + k < len(lines) and q + k < len(split[e]) and lines[p + k] == split[e][q + k]:
+                        k += 1
+                    n = max(n, k)
+            ends.append(p + n)
+        expected |= {(d, p, e - 1, sum(map(len, lines[p:e]))) for p, e in enumerate(ends) if e > p and (p == 0 or ends[p - 1] < e)}
+    found = line_dedup.repeated_runs(make_docs(list(enumerate(texts)))).collect()
+    assert {(r["id"], r["at"], r["to"], r["chars"]) for r in found} == expected and len(found) == len(expected)
+    for r in found:
+        n = r["to"] - r["at"] + 1
+        assert (r["first"]["id"], r["first"]["pos"]) < (r["id"], r["at"])
+        assert split[r["first"]["id"]][r["first"]["pos"] :][:n] == split[r["id"]][r["at"] :][:n]
+
+
 # quality rules
 
 
