@@ -4,6 +4,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_cases import TOKENIZERS, edge_rows, prose
 
@@ -94,8 +95,7 @@ def test_packing(make_docs):
 
     path = f"{TOKENIZERS}/word_bpe_49k.json"
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    rows = edge_rows() + [(500, "Ünïcode’s “quotes” don't… ÉCOLE é <|endoftext|> 12,345.67!?"), (501, "İstanbul ΣΑΣ ſ   x\x1cy  z")]
+    rows = edge_rows() + [(502, "hello <|endoftext|> world <|ENDOFTEXT|>, a<|startoftext|>b."), (503, "ÜNİVERSİTESİ, VERGİ DAİRESİ. İ! e\u0301, E\u0301. \u0301, İ"), (500, "Ünïcode’s “quotes” don't… ÉCOLE é <|endoftext|> 12,345.67!?"), (501, "İstanbul ΣΑΣ ſ   x\x1cy  z")]
     out = packing.pack(make_docs(rows, clashes=True), path, keep_ids=True).collect()
     pieces = collections.Counter()
     for doc_id, text in [(r[0], r[1]) for r in rows]:
@@ -117,6 +117,19 @@ def test_packing(make_docs):
     assert packing.pack(make_docs([]), path).count() == 0
 
 
+def test_ids_are_the_tokenizers():
+    from tokenizers import Tokenizer
+
+    path = f"{TOKENIZERS}/word_bpe_49k.json"
+    tokenizer, encoder = Tokenizer.from_file(path), packing.WordIds(path)
+    rnd = np.random.default_rng(3)
+    parts = [*"abzABZ09.,!?;:$%&*#'\"<|>-_()/\\", *"İıßſÜüéÉΣσςǅ\u0301\u0307\u0308\u00a0\u200b\x1c中ش", " ", " ", "\n", "\t", "\x0b", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "the", "THE", "'s", "'LL"]
+    texts = ["".join(parts[i] for i in rnd.integers(0, len(parts), rnd.integers(1, 14))) for _ in range(20_000)]
+    ids, starts = encoder.encode(pa.array(texts))
+    for i, found in enumerate(tokenizer.encode_batch(texts, add_special_tokens=False)):
+        assert ids[starts[i] : starts[i + 1]].tolist() == found.ids, texts[i]
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_plans_use_every_piece_once(seed):
     rnd = np.random.default_rng(seed)

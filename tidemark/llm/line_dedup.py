@@ -53,16 +53,16 @@ def _doubled(ranked: DataFrame, ahead: int) -> DataFrame:
     """Ranks by ``ahead`` more lines, of the positions that have them, discarding those alone in their interval."""
     by_doc = Window.partitionBy(*_DOC).orderBy("pos")
     there = F.last("rank").over(by_doc.rangeBetween(ahead, ahead))
-    pairs = saved(ranked.select(*_DOC, "pos", "rank", there.alias("then")).where("then is not null"))
+    pairs = ranked.select(*_DOC, "pos", "rank", there.alias("then")).where("then is not null")
     same = pairs.groupBy("rank", "then").agg(F.count("*").alias("n"), F.min(_me()).alias("first"))
     # a common line may go on in many ways, so these are counted by ranges first
-    same = saved(same.withColumn("range", F.shiftright("then", _RANGE)))
+    same = same.where("n > 1").withColumn("range", F.shiftright("then", _RANGE))
     ranges = same.groupBy("rank", "range").agg(F.sum("n").alias("total"))
     ranges = ranges.select("rank", "range", (F.sum("total").over(Window.partitionBy("rank").orderBy("range")) - F.col("total")).alias("before"))
     within = F.sum("n").over(Window.partitionBy("rank", "range").orderBy("then")) - F.col("n")
     same = same.withColumn("within", within).join(ranges, ["rank", "range"])
-    same = saved(same.where("n > 1").select("rank", "then", (F.col("rank") + F.col("before") + F.col("within")).alias("deeper"), "first"))
-    return join_checked(pairs, same, ["rank", "then"], "inner").select(*_DOC, "pos", F.col("deeper").alias("rank"), "first")
+    same = same.select("rank", "then", (F.col("rank") + F.col("before") + F.col("within")).alias("deeper"), "first")
+    return pairs.join(same, ["rank", "then"]).select(*_DOC, "pos", F.col("deeper").alias("rank"), "first")
 
 
 def _at(rows: DataFrame, table: DataFrame, place: Column, columns: dict[str, str]) -> DataFrame:
@@ -93,12 +93,13 @@ def _members(levels: list[DataFrame], k: int) -> DataFrame:
 
 def _halved(rows: DataFrame, ranked: DataFrame, more: int) -> DataFrame:
     """The intervals in ``rows`` parted by their next ``more`` lines: the parts of two or more, and the earliest of all parts."""
-    rows = saved(_at(rows, ranked, F.col("pos") + F.col("length"), {"next": "rank"}))
+    rows = _at(rows, ranked, F.col("pos") + F.col("length"), {"next": "rank"})
     parts = rows.where("next is not null").groupBy("first", "length", "next").agg(F.count("*").alias("n"), F.min(_me()).alias("earliest"))
-    parts = saved(parts.where("n > 1"))
-    out = join_checked(rows, parts, ["first", "length", "next"], "left")
-    inner = out.where("n is not null").select(*_DOC, "pos", F.col("earliest").alias("first"), (F.col("length") + more).alias("length"))
-    return inner.unionByName(out.where(F.col("n").isNull() | (F.col("earliest") == _me())).select(*_DOC, "pos", "first", "length"))
+    out = rows.join(parts.where("n > 1"), ["first", "length", "next"], "left")
+    inner = F.when(F.col("n").isNotNull(), F.struct(F.col("earliest").alias("first"), (F.col("length") + more).alias("length")))
+    outer = F.when(F.col("n").isNull() | (F.col("earliest") == _me()), F.struct("first", "length"))
+    out = out.select(*_DOC, "pos", F.explode(F.array_compact(F.array(inner, outer))).alias("part"))
+    return out.select(*_DOC, "pos", "part.first", "part.length")
 
 
 def _runs(levels: list[DataFrame]) -> DataFrame:

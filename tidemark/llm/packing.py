@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import words
-from tidemark.llm.tables import saved
+from tidemark.llm.tables import buckets_for, saved
 
 #: Steps of the grid on which patterns are enumerated.
 GRID = 256
@@ -40,7 +40,6 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.known = words.Recent(self._learn)
         # words of letters alone may go to the merges straight away, if the tokenizer is of the kind known here
         trial = ["abcdefgh", "thequickest", "\u00fcber", "caf\u00e9s", "stra\u00dfe", "\u00e0\u0161\u010d"]
@@ -85,10 +84,14 @@ def _spelled(word: str) -> str | None:
 def _parts(word: str) -> tuple[str, str]:
     """A word as what is before its closing punctuation and that punctuation; the tokenizer parts the two anyway.
 
-    It also ignores the case of A-Z; only words of ASCII alone are lower-cased here, as others may compose.
+    It does so only after what is a letter once normalised, as the capital dotted I is not: it ends in a mark. The case of
+    A-Z is ignored, too; only words of ASCII alone are lower-cased here, as others may compose, and none that may hold a
+    special token.
     """
+    if "<|" in word:
+        return word, ""
     core = word.rstrip(".,!?;:$%&*#")
-    if not core or not core[-1].isalpha() or core[-1] >= "\u0250":
+    if not core or core[-1] >= "\u0250" or not unicodedata.normalize("NFC", core[-1]).lower()[-1].isalpha():
         core = word
     return core.lower() if core.isascii() else core, word[len(core) :]
 
@@ -267,7 +270,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     pieces = saved(rows.mapInArrow(_pieces(tokenizer_path, end_id, length, keep_ids), schema))
 
     # numbered within each length by way of buckets, so that a common length isn't one task's
-    buckets = max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    buckets = buckets_for(pieces.count(), spark)
     dealt = pieces.withColumn("bucket", F.pmod(F.xxhash64("id", "piece", "ids_crc32"), F.lit(buckets)))
     sizes = saved(dealt.groupBy("length", "bucket").agg(F.count("*").alias("n")))
     counts = np.zeros(length + 1, np.int64)
