@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from llm_cases import edge_rows, prose
 
+from tidemark.llm import exact_topk
 from tidemark.llm.exact_topk import best_in_block, top_k
 
 
@@ -46,6 +47,39 @@ def test_scores_beyond_doubles():
     assert score.tolist() == [max(want, -(2**63))] * 2 and q.tolist() == [0, 1] and x.tolist() == [1, 0]
 
 
+@pytest.mark.parametrize("salted", [False, True])
+def test_pairs_of_blocks_are_dropped(spark, monkeypatch, salted):
+    """On clustered vectors few pairs of blocks are searched, and the result is whole, with queries broadcast or not."""
+    if salted:
+        monkeypatch.setattr(exact_topk, "BROADCAST_BYTES", 0)
+        monkeypatch.setattr(exact_topk, "is_small", lambda df: False)
+    rnd = np.random.default_rng(1)
+    centres = rnd.normal(size=(12, 32)) * 4
+    rows = [(i, [float(x) for x in centres[i % 12] + 0.05 * rnd.normal(size=32)]) for i in range(600)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(2)
+    blocks, queries = exact_topk._blocks_of(df, "id % 3 = 0", "vec_id", "embedding", 256)
+    pairs, _ = exact_topk.block_pairs(blocks, queries, 5)
+    assert pairs.count() < 0.5 * blocks.count() * queries.count()
+    found = top_k(df, "id % 3 = 0")
+    assert collections.Counter((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in found.collect()) == brute(rows)
+
+
+def test_few_pairs_are_scored_one_by_one(monkeypatch):
+    rnd = np.random.default_rng(2)
+    cells = np.floor(256 * (np.repeat(rnd.normal(size=(40, 16)) * 3, 20, axis=0) + 0.01 * rnd.normal(size=(800, 16))))
+    scored = []
+    exact = exact_topk._exact
+    monkeypatch.setattr(exact_topk, "_exact", lambda a, b: scored.append(len(a)) or exact(a, b))
+    best_in_block(cells[:100], np.arange(100), cells, np.arange(800), 5, np.full(100, -np.inf))
+    assert sum(scored) < 0.2 * 100 * 800
+
+
+def test_components_that_leave_a_doubles_range(spark):
+    rows = [(0, [1e307, 1.0]), (1, [1.0, 1.0]), (2, [-1e307, 0.0]), (3, [0.0, 2.0])]
+    found = top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "id = 0")
+    assert [(r["rank"], r["vec_id"], r["score"]) for r in found.orderBy("rank").collect()] == [(1, 1, 2**63 - 1), (2, 3, 2 * 256 * 256), (3, 2, -(2**63))]
+
+
 def test_pipeline_stages(spark, make_docs, tmp_path):
     import corpus_pipeline
     from test_ngram_join import brute as groups
