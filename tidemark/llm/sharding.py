@@ -1,10 +1,11 @@
 """Shards of equal row counts by balanced label propagation over linked documents.
 
-Documents of equal text are linked. They start with random labels; in each round the documents of a block (a group, or a
-part of one that would fill more than a quarter of a shard) move to the shard that most of their neighbours are in,
-among those with room, and blocks are admitted by prefix sums up to each shard's quota. What is left over, and all
-documents without links, whose moves cut no edge, fill the shards up to their exact quotas.
-DataFrame functions only; windows go by way of hash buckets, so none has a whole shard or group.
+Documents of equal text are linked. They start in random shards of equal sizes; in each round the documents of a group
+propose to move to the shard that most of their neighbours are in, and moves are admitted under quotas: as many go from
+one shard to another as others leave it or it has room, those with the most neighbours there first. Documents of one
+group in one shard are alike, so they move as a number, whole or in part, and a group of any size is a few rows. Every
+move lowers the number of links cut. At last all documents without links, which cut no edge anywhere, fill the shards up
+to their exact quotas. DataFrame functions only; windows go by way of hash buckets, so none has a whole shard or group.
 """
 
 from __future__ import annotations
@@ -12,10 +13,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.tables import join_checked, saved
+from tidemark.llm.tables import buckets_for, join_checked, saved
 
-#: Rounds of propagation at most; blocks not admitted by then are filled in like documents without links.
-ROUNDS = 8
+#: Rounds of propagation at most, beyond which documents stay where they are.
+ROUNDS = 12
 
 
 def _numbered(df: DataFrame, keys: list[str], spread: Column, order: list[str], buckets: int, into: str, weight: str | None = None) -> DataFrame:
@@ -29,28 +30,89 @@ def _numbered(df: DataFrame, keys: list[str], spread: Column, order: list[str],
     return join_checked(df, saved(before), [*keys, "_bucket"], "inner").withColumn(into, F.col("_before") + F.col("_within")).drop("_bucket", "_before", "_within")
 
 
-def _settled(linked: DataFrame, quotas: list[int], buckets: int) -> DataFrame:
-    """(block, shard) of the blocks of ``linked`` (uid, block, shard) that found room together."""
-    spark = linked.sparkSession
-    sizes = linked.groupBy("block").agg(F.count("*").alias("n"))
-    near = saved(linked.groupBy("block", "shard").agg(F.count("*").alias("c")).join(sizes, "block"))
-    done, room = None, list(quotas)
-    for _ in range(ROUNDS):
-        free = F.broadcast(spark.range(1).select(F.posexplode(F.array(*[F.lit(r).cast("long") for r in room])).alias("shard", "room")))
-        open_ = near if done is None else near.join(done.select("block"), "block", "left_anti")
-        # every shard with room is a choice, so that a block whose neighbours' shards are full moves on
-        blocks = open_.select("block", "n").distinct()
-        widest = max(range(len(room)), key=lambda s: (room[s], -s))
-        choices = open_.select("block", "n", "shard", "c").unionByName(blocks.select("block", "n", F.lit(widest).alias("shard"), F.lit(0).cast("long").alias("c")))
-        wanted = choices.join(free, "shard").where("n <= room").groupBy("block").agg(F.max_by(F.struct("shard", "n", "room"), F.struct("c", "room", -F.col("shard"))).alias("one")).select("block", "one.*")
-        placed = _numbered(wanted, ["shard"], F.xxhash64("block"), ["block"], buckets, "before", "n").where("before + n <= room")
-        new = saved(placed.select("block", "shard", "n"))
-        moved = {r["shard"]: r["n"] for r in new.groupBy("shard").agg(F.sum("n").alias("n")).collect()}  # a row for each shard
-        if not moved:
+def admitted(want: dict[tuple[int, int], int], room: list[int]) -> dict[tuple[int, int], int]:
+    """How many of the documents that want to go from one shard to another may, so that none takes more than it has room for.
+
+    What others leave makes room. Of a shard that too many want, all flows into it shrink alike, until all shards hold.
+    """
+    flow = {k: float(n) for k, n in want.items()}
+    for _ in range(1000):
+        worst = 0.0
+        for t, free in enumerate(room):
+            come = sum(n for (_, b), n in flow.items() if b == t)
+            go = sum(n for (a, _), n in flow.items() if a == t)
+            if come > free + go:
+                worst = max(worst, come - free - go)
+                for k in flow:
+                    if k[1] == t:
+                        flow[k] *= (free + go) / come
+        if worst < 1e-9:
+            break
+    out = {k: int(n + 1e-9) for k, n in flow.items()}
+    while True:  # whole numbers leave a document or two too many in a shard
+        net = [free + sum(n for (a, _), n in out.items() if a == t) - sum(n for (_, b), n in out.items() if b == t) for t, free in enumerate(room)]
+        over = [t for t, n in enumerate(net) if n < 0]
+        if not over:
             break
-        room = [r - moved.get(s, 0) for s, r in enumerate(room)]
-        done = new.select("block", "shard") if done is None else saved(done.unionByName(new.select("block", "shard")))
-    return done if done is not None else near.select("block", "shard").limit(0)
+        k = max((k for k in out if k[1] == over[0]), key=lambda k: (out[k], k))
+        out[k] -= min(out[k], -net[over[0]])
+    more = True
+    while more:  # and room that is left
+        more = False
+        for (a, b), n in sorted(want.items(), key=lambda x: (-x[1], x[0])):
+            if (add := min(n - out[a, b], net[b])) > 0:
+                out[a, b] += add
+                net[a] += add
+                net[b] -= add
+                more = True
+    return {k: n for k, n in out.items() if n > 0}
+
+
+def _allowed(moves: DataFrame, flows: dict[tuple[int, int], int], buckets: int) -> DataFrame:
+    """The part of ``moves`` that ``flows`` has room for: most neighbours first, by powers of two."""
+    allowed = moves.sparkSession.createDataFrame([(a, b, n) for (a, b), n in flows.items()], "shard int, to int, allowed long")  # a row for two shards
+    width = max(1, buckets // 64)
+    turn = (63 - F.least(F.lit(63), F.floor(F.log2("there")))) * width + F.pmod(F.xxhash64("print"), F.lit(width))
+    moves = _numbered(moves, ["shard", "to"], turn, ["print"], 64 * width, "before", "c").join(F.broadcast(allowed), ["shard", "to"])
+    return saved(moves.where("before < allowed").select("print", "shard", "to", F.expr("least(c, allowed - before)").alias("c")))
+
+
+def propagated(near: DataFrame, quotas: list[int], buckets: int) -> tuple[DataFrame, int, int]:
+    """``near`` (print, shard, c: so many documents of a group in a shard) after propagation, and the links cut before and after.
+
+    A group whose documents fill a shard goes on in the next one, so only groups larger than a shard are split for good.
+    """
+    links = lambda c: F.coalesce(F.sum(F.expr(f"{c} * ({c} - 1) div 2").cast("decimal(38,0)")), F.lit(0))
+    near = saved(near)
+    every = int(near.groupBy("print").agg(F.sum("c").alias("n")).agg(links("n")).first()[0])
+    quota = F.element_at(F.array(*[F.lit(q).cast("long") for q in quotas]), F.col("shard") + 1)
+    cuts, idle, tried = [], 0, 0
+    while True:
+        rows = near.groupBy("shard").agg(F.sum("c").alias("n"), links("c").alias("kept")).collect()  # a row for each shard
+        cuts.append(every - sum(int(r["kept"]) for r in rows))
+        if idle == 2 or tried == ROUNDS or not cuts[-1] or (len(cuts) > 2 and cuts[-3] - cuts[-1] < 0.001 * every):
+            return near, cuts[0], cuts[-1]
+        room = list(quotas)
+        for r in rows:
+            room[r["shard"]] -= r["n"]
+        # by turns, the shard with the most neighbours, and the one of those with room
+        open_ = [s for s, n in enumerate(room) if n > 0] if tried % 2 else list(range(len(room)))
+        tried += 1
+        choice = near.where((F.col("c") < quota) & F.col("shard").isin(open_))
+        to = choice.groupBy("print").agg(F.max(F.struct("c", F.xxhash64("print", "shard").alias("h"), "shard")).alias("best")).select("print", F.col("best.shard").alias("to"), F.col("best.c").alias("there"))
+        moves = near.join(to, "print").where((F.col("shard") != F.col("to")) & (F.col("c") <= F.col("there")))
+        moves = saved(moves.select("print", "shard", "to", "c", "there"))
+        want = {(r["shard"], r["to"]): r["n"] for r in moves.groupBy("shard", "to").agg(F.sum("c").alias("n")).collect()}  # a row for two shards
+        flows = admitted(want, room)
+        if not flows:
+            idle += 1
+            continue
+        idle = 0
+        if flows != want:
+            moves = _allowed(moves, flows, buckets)
+        moves = moves.withColumnRenamed("c", "m")
+        after = near.unionByName(moves.select("print", "shard", (-F.col("m")).alias("c"))).unionByName(moves.select("print", F.col("to").alias("shard"), F.col("m").alias("c")))
+        near = saved(after.groupBy("print", "shard").agg(F.sum("c").alias("c")).where("c > 0"))
 
 
 def shard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_shards: int = 16) -> DataFrame:
@@ -60,38 +122,36 @@ def shard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_sha
     size is the UTF-8 bytes of the text plus 1; grown_shard is null.
 
     - A null text has size 1, no checksum and no links; empty texts are equal to each other.
-    - Null ids and repeated rows are rows like others. A group too large for a quarter of a shard is split, into parts
-      by hash; it may be of any size. Very long texts are read whole, in one pass. An empty table gives an empty result.
+    - Null ids and repeated rows are rows like others. A group may be of any size; one too large for a shard is split.
+      Very long texts are read whole, in one pass. An empty table gives an empty result.
     - Other columns of ``docs``, whatever their names, are not looked at.
     """
-    spark = docs.sparkSession
-    buckets = max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
     text = F.col(text_col)
     rows = docs.select(F.col(id_col).alias("id"), (F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1).alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.unhex(F.md5(text)).alias("print"))
-    # a number of its own for each row
-    uid = F.monotonically_increasing_id()
-    rows = saved(rows.withColumn("uid", uid))
+    rows = saved(rows.withColumn("uid", F.monotonically_increasing_id()))  # a number of its own for each row
     total = rows.count()
+    buckets = buckets_for(total, docs.sparkSession)
     quotas = [total // n_shards + (s < total % n_shards) for s in range(n_shards)]
 
     groups = saved(rows.where("print is not null").groupBy("print").agg(F.count("*").alias("n_group")).where("n_group > 1"))
-    part = max(1, total // n_shards // 4)
-    parts = F.ceil(F.col("n_group") / part)
-    linked = saved(
-        join_checked(rows.select("uid", "print"), groups, "print", "inner")
-        .withColumn("block", F.concat_ws("/", F.hex("print"), F.pmod(F.xxhash64("uid"), parts)))
-        .select("uid", "block", F.pmod(F.xxhash64("uid", F.lit(1)), F.lit(n_shards)).cast("int").alias("shard"))
-    )
-    settled = _settled(linked, quotas, buckets)
-    placed = saved(linked.select("uid", "block").join(settled, "block", "left"))
-    sure = placed.where("shard is not null").select("uid", "shard")
-    used = {r["shard"]: r["n"] for r in sure.groupBy("shard").agg(F.count("*").alias("n")).collect()}  # a row for each shard
-    free = [q - used.get(s, 0) for s, q in enumerate(quotas)]
-
-    rows = rows.join(placed, "uid", "left")
-    rest = _numbered(rows.where("shard is null"), [], F.coalesce(F.xxhash64("block"), F.xxhash64("uid")), ["block", "uid"], buckets, "at")
-    ends = [sum(free[: s + 1]) for s in range(n_shards)]
-    filled = rest.withColumn("shard", sum(((F.col("at") >= e).cast("int") for e in ends[:-1]), F.lit(0))).drop("at")
+    linked = join_checked(rows.select("uid", "print"), groups, "print", "inner").select("uid", "print")
+    # random shards of equal sizes to start from
+    linked = saved(_numbered(linked, [], F.xxhash64("uid"), ["uid"], buckets, "at").withColumn("start", F.pmod("at", F.lit(n_shards)).cast("int")).drop("at"))
+    near, _, _ = propagated(linked.groupBy("print", F.col("start").alias("shard")).agg(F.count("*").alias("c")), quotas, buckets)
+    free = list(quotas)
+    for r in near.groupBy("shard").agg(F.sum("c").alias("n")).collect():  # a row for each shard
+        free[r["shard"]] -= r["n"]
+
+    # a group's documents are alike: by their numbers they go to its shards in turn
+    ends = F.sum("c").over(Window.partitionBy("print").orderBy("shard"))
+    ends = saved(near.withColumn("end", ends).groupBy("print").agg(F.sort_array(F.collect_list(F.struct("end", "shard"))).alias("ends")))  # ``n_shards`` at most
+    ranked = join_checked(_numbered(linked.select("uid", "print"), ["print"], F.xxhash64("uid"), ["uid"], buckets, "at"), ends, "print", "inner")
+    placed = ranked.select("uid", F.filter("ends", lambda e: e["end"] > F.col("at"))[0]["shard"].alias("shard"))
+
+    rows = saved(rows.drop("print").join(placed, "uid", "left"))
+    rest = _numbered(rows.where("shard is null"), [], F.xxhash64("uid"), ["uid"], buckets, "at")
+    upto = [sum(free[: s + 1]) for s in range(n_shards)]
+    filled = rest.withColumn("shard", sum(((F.col("at") >= e).cast("int") for e in upto[:-1]), F.lit(0))).drop("at")
     out = rows.where("shard is not null").unionByName(filled).select("uid", "id", "size", "text_crc32", "shard")
     out = _numbered(out, ["shard"], F.xxhash64("uid"), ["uid"], buckets, "slot")
     return out.select(F.col("id").alias(id_col), "size", "text_crc32", F.lit("rows").alias("law"), F.col("shard").cast("int").alias("shard"), F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
