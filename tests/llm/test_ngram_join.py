@@ -40,9 +40,47 @@ def got(df):
     return {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in df.collect()}
 
 
+def brute_of_rows(rows):
+    """Sorted (id, n, component) of each id and text, where an id links its texts and a text may have none."""
+    docs = sorted(set(rows), key=str)
+    found = brute(dict(enumerate(t for _, t in docs)))
+    label = {k: k for k in range(len(docs))}
+    for _ in docs:
+        for a, (i, _t) in enumerate(docs):
+            for b, (j, _u) in enumerate(docs):
+                if (i is not None and i == j) or (found[a][1] == found[b][1] and found[a][0]):
+                    label[a] = label[b] = min(label[a], label[b])
+    least = {}
+    for k, (i, _t) in enumerate(docs):
+        if i is not None:
+            least[label[k]] = min(i, least.get(label[k], i))
+    return sorted(((i, found[k][0], least.get(label[k])) for k, (i, _t) in enumerate(docs)), key=str)
+
+
 def test_edge_cases(make_docs):
     rows = edge_rows()
-    assert got(near_duplicates(make_docs(rows, clashes=True))) == brute({r[0]: r[1] for r in rows if r[0] is not None})
+    found = [(r["doc_id"], r["n_shingles"], r["component_id"]) for r in near_duplicates(make_docs(rows, clashes=True)).collect()]
+    assert sorted(found, key=str) == brute_of_rows([r[:2] for r in rows])
+    rows = [r for r in rows if r[0] is not None]
+    assert got(near_duplicates(make_docs(rows, clashes=True))) == brute({r[0]: r[1] for r in rows})
+
+
+def test_ids_with_several_texts(make_docs):
+    a, b, c = (prose(800 + i, 60) for i in range(3))
+    rows = [(1, a), (2, b), (7, a), (7, b), (8, c), (8, None), (9, ""), (10, ""), (10, c), (None, a), (None, "alone here"), (11, None)]
+    found = [(r["doc_id"], r["n_shingles"], r["component_id"]) for r in near_duplicates(make_docs(rows)).collect()]
+    assert sorted(found, key=str) == brute_of_rows(rows)
+    assert (2, 56, 1) in found and (7, 56, 1) in found
+
+
+def test_common_shingles_change_nothing(make_docs, monkeypatch):
+    from tidemark.llm import ngram_join
+
+    shared = prose(50, 40)
+    rows = [(i, f"{prose(i // 3, 12)} {shared} {prose(900 + i // 2, 5)}") for i in range(60)]
+    monkeypatch.setattr(ngram_join, "LOOKED_AT", 20)
+    monkeypatch.setattr(ngram_join, "COMMON", 2)
+    assert got(near_duplicates(make_docs(rows))) == brute(dict(rows))
 
 
 def test_chains_of_near_copies_and_threshold(make_docs):

@@ -36,6 +36,9 @@ from tidemark.llm.tables import join_checked, masked, saved, unmasked
 SPARE = 20
 #: Nodes of a prefix shingle that its others are compared with before all that are still unconnected are.
 LEADERS = 24
+#: Documents looked at, and hits among them from which a shingle counts as common. Common ones go last in the order of
+#: rarity and aren't counted; which they are changes the way of the join, never its result.
+LOOKED_AT, COMMON = 20_000, 5
 #: Ranges of hashes whose counts the suffix filter compares.
 RANGES = 64
 
@@ -112,44 +115,78 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return saved(pairs)
 
 
-def _nodes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(members, texts): the node of each id, and the text of each node, once."""
-    ids = saved(rows.where("id is not null").groupBy("id").agg(F.min(F.unhex(F.md5("text"))).alias("print"), F.count("*").alias("n_rows")))
+def _common(texts: DataFrame, documents: int, width: int) -> DataFrame:
+    """Shingles that some thousandths of a percent of all texts have: a table of a bounded size, from LOOKED_AT texts."""
+    some = texts.where(F.pmod(F.xxhash64("id", F.lit(5)), F.lit(max(1, documents // LOOKED_AT))) == 0)
+    tokens = some.mapInArrow(_whole_sets(width), "node long, n int, shingles binary, counts binary").mapInArrow(_one_row_a_shingle, "node long, token long, n int")
+    hits = tokens.groupBy("token").agg(F.count("*").alias("hits")).where(F.col("hits") >= COMMON)
+    return saved(hits.orderBy(F.desc("hits"), "token").limit(LOOKED_AT).select("token", F.lit(True).alias("common")))
+
+
+def _counted(entries: DataFrame, common: DataFrame, extra: str = "false") -> DataFrame:
+    """``entries`` with df, in how many of them their tokens are, if in two or more (or ``extra`` holds); of common ones, the highest number."""
+    marked = entries.join(F.broadcast(common), "token", "left")  # LOOKED_AT rows at most
+    # the rows of a common one are dealt out by node, so none is one task's
+    marked = marked.withColumn("dealt", F.when(F.col("common"), F.xxhash64("node", "token")).otherwise(F.col("token")))
+    df = F.when(F.col("common"), F.lit(2**62)).otherwise(F.count("*").over(Window.partitionBy("common", "dealt")))
+    return marked.withColumn("df", df).where(f"df > 1 or {extra}").drop("common", "dealt")
+
+
+def _nodes(ids: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(members, texts): the node of each id, which has one text, and the text of each node, once."""
     groups = saved(ids.where("print is not null").groupBy("print").agg(F.min("id").alias("node"), F.count("*").alias("n")).where("n > 1").drop("n"))
     members = saved(join_checked(ids, groups, "print", "left").withColumn("node", F.coalesce("node", "id")))
-    present = rows.where("id is not null and text is not null")
-    texts = join_checked(present, members.where("id <> node or n_rows > 1").select("id"), "id", "left_anti")
-    again = members.where("id = node and n_rows > 1 and print is not null").select("id", "print")
+    present = rows.where("text is not null")
+    texts = join_checked(present, saved(members.where("id <> node or n_rows > 1").select("id")), "id", "left_anti")
+    again = saved(members.where("id = node and n_rows > 1 and print is not null").select("id"))
     if not again.isEmpty():
-        repeated = join_checked(present, again, "id", "inner").where(F.unhex(F.md5("text")) == F.col("print"))
-        texts = texts.unionByName(repeated.select("id", "text").dropDuplicates(["id"]))
+        texts = texts.unionByName(join_checked(present, again, "id", "inner").select("id", "text").dropDuplicates(["id"]))
     return members, texts
 
 
+def _by_text(rows: DataFrame, width: int, percent: int) -> DataFrame:
+    """near_duplicates where ids are null or have several texts: each text is a node, and an id links its own."""
+    docs = saved(rows.select("id", F.unhex(F.md5("text")).alias("print")).distinct())
+    nodes = saved(saved(docs.where("print is not null").select("print").distinct()).withColumn("node", F.monotonically_increasing_id()))
+    numbered = join_checked(rows.where("text is not null").select(F.unhex(F.md5("text")).alias("print"), "text"), nodes, "print", "inner")
+    found = near_duplicates(numbered, "node", "text", width, percent).select("node", "n_shingles", F.col("component_id").alias("class"))
+    docs = saved(docs.join(nodes.join(found, "node"), "print", "left").select("id", F.coalesce("n_shingles", F.lit(0).cast("long")).alias("n"), F.when(F.col("n_shingles") > 0, F.col("class")).alias("class")))
+    least = docs.where("class is not null").groupBy("class").agg(F.min("id").alias("least"))
+    linked = components(docs.join(least, "class").where("id is not null").select(F.col("id").alias("a"), F.col("least").alias("b")))
+    out = docs.join(least, "class", "left").withColumn("own", F.coalesce("id", "least")).join(linked, F.col("own") == F.col("node"), "left")
+    return out.select("id", F.col("n").alias("n_shingles"), F.coalesce("component", "own").alias("component_id"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 75) -> DataFrame:
-    """One row for each id of ``docs``: ``id_col``, ``n_shingles``, ``component_id``.
+    """One row for each id and text of ``docs``: ``id_col``, ``n_shingles``, ``component_id``.
 
     ``component_id`` is the smallest id reachable over links, the id itself included. Ids are integers.
 
     - Null or empty text, or text without words: an empty set, n_shingles 0, linked with nothing.
-    - Rows without an id take no part and have no row in the result.
-    - An id on several rows is one document; if its texts differ, the one with the smallest MD5 counts.
+    - Repeated rows of an id and text have one row. Each text of an id takes part, and they are linked by their id.
+    - A text without an id is linked, too; its component is null if no id is reachable.
     - Equal texts are one node and so always linked; very long texts are taken whole.
     - An empty table gives an empty result; other columns of ``docs``, whatever their names, are not looked at.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    members, texts = _nodes(rows)
-
-    by_token = Window.partitionBy("token")
+    prints = rows.where("id is not null").select("id", F.unhex(F.md5("text")).alias("print"))
+    ids = prints.groupBy("id").agg(F.min("print").alias("print"), F.max("print").alias("other"), F.count("*").alias("n_rows"), F.count("print").alias("n_texts"))
+    ids = saved(ids)
+    several = ids.where("print <> other or n_texts not in (0, n_rows)")
+    if not several.isEmpty() or not docs.where(F.col(id_col).isNull()).isEmpty():
+        return _by_text(rows, width, percent).select(F.col("id").alias(id_col), "n_shingles", "component_id")
+    members, texts = _nodes(ids.select("id", "print", "n_rows"), rows)
+
+    common = _common(texts, ids.count(), width)
     entries = texts.mapInArrow(_prefixes(percent, width), "node long, token long, n int")
-    marks = entries.withColumn("df", F.count("*").over(by_token)).where("df > 1 or n < 0")
+    marks = _counted(entries, common, "n < 0")
     sizes = saved(marks.groupBy("node").agg(F.max(F.expr("-n - 1")).alias("n"), F.count_if(F.col("n") >= 0).alias("shared")))
     # a partner has at least this many shingles, and as many of the prefix's spare ones
     alive = saved(sizes.where(f"shared >= 1 + {_least_overlap('n', percent)} div {SPARE}").select(F.col("node").alias("id")))
 
     sets = saved(join_checked(texts, alive, "id", "left_semi").mapInArrow(_whole_sets(width), "node long, n int, shingles binary, counts binary"))
     tokens = sets.select("node", "n", "shingles").mapInArrow(_one_row_a_shingle, "node long, token long, n int")
-    ranked = tokens.withColumn("df", F.count("*").over(by_token)).where("df > 1")
+    ranked = _counted(tokens, common)
     ranked = ranked.select("node", "token", "n", F.row_number().over(Window.partitionBy("node").orderBy("df", "token")).alias("at"), F.count("*").over(Window.partitionBy("node")).alias("k"))
     prefix = saved(ranked.withColumn("pos", F.expr("int(n - k + at)")).where(f"pos <= n - {_least_overlap('n', percent)} + 1").select("token", "node", "n", "pos"))
 
@@ -212,8 +249,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     again = saved(rows.where(key.isNotNull()).groupBy(key.cast("long").alias("id"), F.md5(text).alias("print")).agg(F.count("*").alias("n")).groupBy("id").agg(F.sum("n").alias("n"), F.count("*").alias("texts")).where("n > 1"))
     if not again.where("texts > 1").isEmpty():
         return _keep_texts(rows.where(key.isNotNull()), key, text, width, percent).unionByName(rows.where(key.isNull())).select(unmasked(names))
-    found = saved(near_duplicates(docs, id_col, text_col, width, percent).toDF("id", "n", "component"))
-    left = join_checked(rows, found.where("id <> component").select("id"), key == F.col("id"), "left_anti")
+    found = saved(near_duplicates(docs.where(F.col(id_col).isNotNull()), id_col, text_col, width, percent).toDF("id", "n", "component"))
+    left = join_checked(rows, saved(found.where("id <> component").select("id")), key == F.col("id"), "left_anti")
     again = again.select("id")
     if not again.isEmpty():
         repeated = _one_of_each(join_checked(left, again, key == F.col("id"), "left_semi"), [key])
