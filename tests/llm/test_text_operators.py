@@ -1,6 +1,7 @@
 import collections
 import hashlib
 import re
+import time
 import zlib
 
 import numpy as np
@@ -459,3 +460,27 @@ def test_ledger_is_incremental(make_docs):
     findings, _ = secrets.scan_versions(first, ["doc_id"], ledger=stale)
     assert {r["doc_id"]: len(r["spans"]) for r in findings.collect()} == {1: 1, 2: 0}
     assert secrets.scan_versions(make_docs([]), ["doc_id"])[0].count() == 0
+
+
+def test_second_query_goes_on_from_the_ledger(spark, make_docs, tmp_path, monkeypatch):
+    from tidemark.llm.queries import op10_secret_scan
+
+    spark.conf.set("tidemark.secrets.ledger", f"{tmp_path}/ledger")
+    try:
+        make_docs([(1, "secret=abcdefgh"), (2, "nothing"), (3, None), (3, None)]).write.parquet(f"{tmp_path}/a/documents.parquet")
+        make_docs([(1, "secret=abcdefgh"), (5, "token=abcdefgh"), (6, "token=abcdefgh"), (7, "")]).write.parquet(f"{tmp_path}/b/documents.parquet")
+        assert {(r["doc_id"], r["n_assign"]) for r in op10_secret_scan(spark, f"{tmp_path}/a").collect()} == {(1, 1), (2, 0), (3, 0)}
+        assert spark.read.parquet(f"{tmp_path}/ledger").count() == 3
+        for _ in range(2):  # only one blob is new, and none the second time
+            found = op10_secret_scan(spark, f"{tmp_path}/b").collect()
+            assert {(r["doc_id"], r["n_assign"]) for r in found} == {(1, 1), (5, 1), (6, 1), (7, 0)}
+            assert spark.read.parquet(f"{tmp_path}/ledger").count() == 4
+    finally:
+        spark.conf.unset("tidemark.secrets.ledger")
+
+
+@pytest.mark.parametrize("part", ["a", "eyJ", "a://b", "token=", "bearer ", "http://u:", "x://a:", "AKIA", "eyJa."])
+def test_scans_take_linear_time(part):
+    began = time.process_time()
+    secrets.find_spans(part * (600_000 // len(part)))
+    assert time.process_time() - began < 5

@@ -59,7 +59,9 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    findings, _ = secrets.scan_versions(_read(spark, sf_dir, "documents"), ["doc_id"])
+    """Scans by the ledger at the session's setting tidemark.secrets.ledger, if there is one, which later scans go on from."""
+    docs, ledger = _read(spark, sf_dir, "documents"), spark.conf.get("tidemark.secrets.ledger", None)
+    findings = secrets.scan_into(docs, ["doc_id"], ledger) if ledger else secrets.scan_versions(docs, ["doc_id"])[0]
     return secrets.digest(findings, ["doc_id"])
 
 

@@ -13,22 +13,24 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import words
 from tidemark.llm.tables import join_checked, saved
 
-#: (kind, pattern, group that is measured, least length of that group), in order of rank. Letters of A-Z match in either
-#: case where the flag is set. A match that is too short is dropped after it was found, and what it covers stays used.
+#: (kind, pattern, whether letters match in either case, group that is measured, least length of that group), in order of rank. A
+#: match that is too short is dropped after it was found, and what it covers stays used. None starts within a run of its
+#: own characters or gives any back, so each takes time in proportion to a text.
 RULES: list[tuple[str, str, bool, int, int]] = [
     ("assign", r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", True, 2, 6),
     ("access", r"AKIA[A-Z0-9]+", False, 0, 20),
     ("hex", r"[0-9a-f]+", False, 0, 24),
     ("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", False, 0, 1),
-    ("jwt", r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", False, 0, 30),
-    ("bearer", r"(bearer)\x20+([A-Za-z0-9+/_.=~-]+)", True, 2, 16),
-    ("url", r"[a-z][a-z0-9+]*://[^\s/:@]+:([^\s/@]+)@", False, 1, 1),
+    ("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++\.[A-Za-z0-9_-]++", False, 0, 30),
+    ("bearer", r"(bearer)\x20++([A-Za-z0-9+/_.=~-]++)", True, 2, 16),
+    ("url", r"(?<![a-z0-9+])[a-z][a-z0-9+]*+://[^\s/:@]++:([^\s/@]++)@", False, 1, 1),
 ]
 #: Kinds of the base, whose spans are never changed by the others.
 BASE = ("assign", "access", "hex")
@@ -62,6 +64,7 @@ def find_spans(text: str, kinds: list[str] | None = None) -> list[tuple[int, int
 
 
 _SPANS = "array<struct<start:int,end:int,kind:string>>"
+LEDGER = f"blob binary, rule_version string, spans {_SPANS}"
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -76,6 +79,24 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("blob"), pa.array(spans, spans_type)], ["blob", "spans"])
 
 
+def scan_into(versions: DataFrame, key_cols: list[str], path: str, text_col: str = "text") -> DataFrame:
+    """The findings of scan_versions by the ledger at ``path``, to which what was scanned now is appended.
+
+    ``path`` is a Parquet table in a folder that all machines share; if there is none, it is begun.
+    """
+    spark = versions.sparkSession
+    try:
+        ledger = spark.read.schema(LEDGER).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        ledger = spark.createDataFrame([], LEDGER)
+    findings, scanned = _scanned(versions, key_cols, text_col, ledger)
+    findings = saved(findings)  # before the ledger changes
+    scanned.write.mode("append").parquet(path)
+    return findings
+
+
 def scan_versions(versions: DataFrame, key_cols: list[str], text_col: str = "text", ledger: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(findings, ledger): the spans in every row of ``versions``, and the ledger with what was scanned now.
 
@@ -87,6 +108,12 @@ def scan_versions(versions: DataFrame, key_cols: list[str], text_col: str = "tex
     - A blob on many rows is scanned once; very long texts are scanned whole; an empty table gives empty results.
     - Other columns of ``versions`` are not looked at. Key columns may have any names; they are renamed meanwhile.
     """
+    findings, scanned = _scanned(versions, key_cols, text_col, ledger)
+    return findings, scanned if ledger is None else ledger.select("blob", "rule_version", "spans").unionByName(scanned)
+
+
+def _scanned(versions: DataFrame, key_cols: list[str], text_col: str, ledger: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """(findings, the ledger's new rows)."""
     keys = [F.col(c).alias(f"key_{i}") for i, c in enumerate(key_cols)]
     rows = versions.select(*keys, F.coalesce(text_col, F.lit("")).alias("text")).withColumn("blob", F.unhex(F.sha2("text", 256)))
     names = [f"key_{i}" for i in range(len(keys))]
@@ -99,18 +126,18 @@ def scan_versions(versions: DataFrame, key_cols: list[str], text_col: str = "tex
         source = source.join(known, "blob", "left_anti")
     source = saved(source)
     total = paths.count()
-    if source.agg(F.sum("n_rows")).first()[0] == total == source.count():
+    n_rows, n_blobs = source.agg(F.sum("n_rows"), F.count("*")).first()
+    if n_rows == total == n_blobs:
         unseen = rows.select("blob", "text")  # all blobs are new and each is on one row
     else:
         skip = saved(paths.select("blob", F.struct(*names).alias("at")).join(source.select("blob", "at"), ["blob", "at"], "left_anti").distinct())
         unseen = join_checked(rows.select("blob", F.struct(*names).alias("at"), "text"), skip, ["blob", "at"], "left_anti").select("blob", "text")
     scanned = unseen.mapInArrow(_scan, f"blob binary, spans {_SPANS}")
     scanned = saved(scanned.dropDuplicates(["blob"]).select("blob", F.lit(RULE_VERSION).alias("rule_version"), "spans"))
-    ledger = scanned if ledger is None else ledger.select("blob", "rule_version", "spans").unionByName(scanned)
-
-    hits = ledger.where((F.col("rule_version") == RULE_VERSION) & (F.size("spans") > 0)).select("blob", "spans")
+    every = scanned if ledger is None else ledger.select("blob", "rule_version", "spans").unionByName(scanned)
+    hits = every.where((F.col("rule_version") == RULE_VERSION) & (F.size("spans") > 0)).select("blob", "spans")
     findings = paths.join(hits, "blob", "left").withColumn("spans", F.coalesce("spans", F.expr(f"cast(array() as {_SPANS})")))
-    return findings.select(*[F.col(n).alias(c) for n, c in zip(names, key_cols, strict=True)], "blob", "spans"), ledger
+    return findings.select(*[F.col(n).alias(c) for n, c in zip(names, key_cols, strict=True)], "blob", "spans"), scanned
 
 
 def _joined(spans: str) -> str:
