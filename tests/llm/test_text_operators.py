@@ -392,6 +392,34 @@ def test_classifier_on_held_out(spark, make_docs):
     assert cotraining.classify(make_docs([]), labels).count() == 0
 
 
+def test_views_teach_each_other():
+    """With few labels, labels flow both ways, and what is held out is told better than without the unlabelled rows."""
+    better = []
+    for seed in range(5):
+        rnd = np.random.default_rng(seed)
+        y = (rnd.random(6000) < 0.5).astype(float)
+        views = [np.column_stack([y * 3 + rnd.normal(size=6000), rnd.normal(size=(6000, 25))]) for _ in range(2)]
+        few, pool, out = np.arange(90), np.arange(90, 4000), np.arange(4000, 6000)
+        sums = [lambda rounds, w, rows=rows, views=views: cotraining.pool_slopes(tuple(v[rows] for v in views), rounds, w) for rows in (pool, pool[:0])]
+        with_pool, without = (cotraining.co_train(views[0][few], views[1][few], y[few], s) for s in sums)
+        assert min(with_pool.taken) > 100 and without.taken == (0, 0)
+        better.append(np.mean((with_pool.scores(*(v[out] for v in views)) >= 0.5) == y[out]) - np.mean((without.scores(*(v[out] for v in views)) >= 0.5) == y[out]))
+    assert np.mean(better) > 0.005
+
+
+def test_views_see_different_things():
+    from tidemark.llm.quality_rules import text_counts
+
+    texts = pa.array(["the same words here\nAND THERE", "and there the same words here", None, ""])
+    counts = text_counts(texts)
+    content, page = cotraining.text_view(texts, counts), cotraining.metadata_view([pa.array(["a", "a", None, "b"]), pa.array([5, None, 7, 0])], counts)
+    np.testing.assert_allclose(content[0, 5 : 5 + cotraining.WORDS], content[1, 5 : 5 + cotraining.WORDS])  # capitals and lines are layout
+    assert (page[0] != page[1]).any() and np.isfinite(content).all() and np.isfinite(page).all()
+    # metadata of other types, and of names that features have
+    odd = cotraining.metadata_view([pa.array([1.5, float("nan"), None, float("inf")]), pa.array([True, None, False, True])], counts)
+    assert np.isfinite(odd).all()
+
+
 def test_classifier_learns_from_all_unlabelled(make_docs, monkeypatch):
     n = 6_600
     rows = [(i, junk(i)[:300] if i % 3 == 0 else prose(i, 25), "bad" if i % 3 == 0 else "fine") for i in range(n)]

@@ -1,8 +1,9 @@
-"""Quality classifier by co-training of a text view and a metadata view.
+"""Quality classifier by co-training of a text-content view and a page-metadata view.
 
-The text view sees statistics of a document's text and shares of hashed word shapes; the metadata view sees its source,
-language and length class. Each is a logistic regression. Over a few rounds each labels the unlabelled documents that it
-is sure of, as measured on held-out labels, for the other to learn from. The calibrated views are then combined by a
+The text view sees which words and pairs of words a text has, hashed, and how they repeat; the metadata view sees its
+source, language and length class, and the page's layout: lines, capitals and signs. Neither sees what the other does.
+Each is a logistic regression. Over a few rounds each labels the unlabelled documents that it is sure of, as measured on
+held-out labels, for the other to learn from. The calibrated views are then combined by a
 logistic regression on held-out labels, and the result scores every document.
 
 Only a bounded sample of labelled rows is gathered: LABELLED_ROWS. All unlabelled documents take part in each round where
@@ -22,47 +23,53 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import words
-from tidemark.llm.quality_rules import FEATURES, text_counts
+from tidemark.llm.quality_rules import text_counts
 from tidemark.llm.tables import join_checked, saved
 
 #: Labelled rows that the fit gathers at most, by smallest hash of id.
 LABELLED_ROWS = 12_000
-#: Buckets of hashed word shapes, and of hashed metadata values.
-SHAPES, VALUES = 64, 64
+#: Buckets of hashed words, of hashed pairs of words, and of hashed metadata values.
+WORDS, PAIRS, VALUES = 64, 32, 64
 #: Rounds, how sure a view must be to label a document, and what its labels of a class weigh in all, at most, to those given.
-ROUNDS, SURE, SHARE = 4, 0.97, 0.2
-
-
-def text_view(texts: pa.Array) -> np.ndarray:
-    """Features of each text: FEATURES, log words, and shares of word shapes (runs of capitals, small letters and digits)."""
-    counts = text_counts(texts)
-    columns = []
-    for ratio in FEATURES.values():
-        above, below = ratio.split(" / ")
-        columns.append(counts[above] / np.maximum(counts[below], 1))
-    columns[0] = columns[0] / 10  # mean word length, to the scale of the shares
-    columns.append(np.log1p(counts["n_words"]) / 10)
-    codes, starts, vocabulary = words.split_words(texts)
-    for run, mark in ((r"\p{Lu}+", "A"), (r"[\p{Ll}\p{Lo}]+", "a"), (r"\p{N}+", "0")):
-        vocabulary = pc.replace_substring_regex(vocabulary, run, mark)
-    shapes = (words.hash_words(vocabulary) % np.uint64(SHAPES)).astype(np.int64)[codes] if len(codes) else np.zeros(0, np.int64)
-    owner = np.repeat(np.arange(len(texts)), np.diff(starts))
-    shares = np.bincount(owner * SHAPES + shapes, minlength=len(texts) * SHAPES).reshape(len(texts), SHAPES)
-    return np.column_stack([*columns, shares / np.maximum(counts["n_words"], 1)[:, None]])
-
-
-def metadata_view(columns: list[pa.Array]) -> np.ndarray:
-    """Hashed one-hot features of metadata values; integers by their power of two, nulls as a value of their own."""
-    n = len(columns[0])
+ROUNDS, SURE, SHARE = 3, 0.97, 0.2
+
+
+def _shares(hashes: np.ndarray, owner: np.ndarray, n: int, buckets: int) -> np.ndarray:
+    """For each of ``n`` texts, the square roots of the shares of its hashes in ``buckets``."""
+    counts = np.bincount(owner * buckets + (hashes % np.uint64(buckets)).astype(np.int64), minlength=n * buckets).reshape(n, buckets)
+    return np.sqrt(counts / np.maximum(counts.sum(axis=1), 1)[:, None])
+
+
+def text_view(texts: pa.Array, counts: dict[str, np.ndarray]) -> np.ndarray:
+    """Features of what each text says: shares of hashed words and pairs, word lengths, repeats, log words."""
+    n, n_words = len(texts), np.maximum(counts["n_words"], 1)
+    codes, starts, vocabulary = words.split_words(texts, ascii_lower=True)
+    hashes = words.hash_words(vocabulary)[codes] if len(codes) else np.zeros(0, np.uint64)
+    owner = np.repeat(np.arange(n), np.diff(starts))
+    pairs, within = words.window_hashes(hashes, 2), owner[1:] == owner[:-1]
+    columns = [counts["word_chars"] / n_words / 10, counts["n_repeat_words"] / n_words, counts["n_distinct"] / n_words, counts["n_same_next"] / n_words, np.log1p(counts["n_words"]) / 10]
+    return np.column_stack([*columns, _shares(hashes, owner, n, WORDS), _shares(pairs[within], owner[1:][within], n, PAIRS)])
+
+
+def layout(counts: dict[str, np.ndarray]) -> np.ndarray:
+    """Features of how each text is laid out: lines, repeated lines, words a line, signs, capitals."""
+    n_words, n_lines, chars = (np.maximum(counts[c], 1) for c in ("n_words", "n_lines", "word_chars"))
+    shares = [counts["n_dup_lines"] / n_lines, counts["n_symbols"] / chars, counts["n_exclaim"] / n_words, counts["n_upper"] / chars]
+    return np.column_stack([np.log1p(counts["n_lines"]) / 10, np.log1p(counts["n_words"] / n_lines) / 10, *map(np.sqrt, shares)])
+
+
+def metadata_view(columns: list[pa.Array], counts: dict[str, np.ndarray]) -> np.ndarray:
+    """The layout, and hashed one-hot features of metadata values; numbers by their power of two, nulls as a value of their own."""
+    n = len(counts["n_words"])
     out = np.zeros((n, VALUES))
     for k, column in enumerate(columns):
         if pa.types.is_integer(column.type) or pa.types.is_floating(column.type):
             size = np.log2(np.maximum(column.cast(pa.float64(), safe=False).fill_null(0).to_numpy(zero_copy_only=False), 0) + 1)
-            column = pc.if_else(column.is_null(), None, pa.array(np.nan_to_num(size).astype(int).astype(str)))
+            column = pc.if_else(column.is_null(), None, pa.array(np.nan_to_num(size, posinf=1024).astype(int).astype(str)))
         coded = pc.fill_null(column.cast(pa.string()), "\0").dictionary_encode()
         names = pa.array([f"{k}:{v}" for v in coded.dictionary.to_pylist()], pa.string())
         out[np.arange(n), (words.hash_words(names) % np.uint64(VALUES)).astype(np.int64)[coded.indices.to_numpy()] if n else []] += 1
-    return out
+    return np.column_stack([layout(counts), out])
 
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
@@ -151,7 +158,7 @@ def fit_with_pool(own: list[tuple[np.ndarray, np.ndarray]], start: list[np.ndarr
             rows.append(n)
             moved = max(moved, np.abs(step).max())
         weights, taken = after, tuple(rows)
-        if moved < 1e-5:
+        if moved < 1e-4:
             break
     return [np.round(w, 9) for w in weights], taken  # sums differ in their last digits with the order of tasks
 
@@ -173,7 +180,8 @@ def co_train(text: np.ndarray, metadata: np.ndarray, y: np.ndarray, summed: Call
 
 
 def _views(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    return text_view(batch.column("text")), metadata_view([batch.column(c) for c in batch.schema.names if c.startswith("m_")])
+    counts = text_counts(batch.column("text"))
+    return text_view(batch.column("text"), counts), metadata_view([batch.column(c) for c in batch.schema.names if c.startswith("m_")], counts)
 
 
 def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
