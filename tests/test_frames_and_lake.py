@@ -56,6 +56,26 @@ def test_delta(spark):
         delta.row_digest(spark.createDataFrame([("a", float("nan"))], schema), ["k"], ["x"]).collect()
 
 
+def test_digests_tell_cells_apart(spark):
+    schema = "a string, b string, n long, x double"
+    rows = [("x|b=y", "z", 1, 1.0), ("x", "y|b=z", 1, 1.0), (None, "z", 1, 1.0), ("", "z", 1, 1.0), ("N", "z", 1, 1.0), ("", "z", None, 1.0), ("", "z", 1, None), ("", None, 1, 1.0)]
+    found = delta.row_digest(spark.createDataFrame(rows, schema), ["a", "b"], ["n", "x"]).collect()
+    assert len({r["row_sha256"] for r in found}) == len(rows)
+    plan = delta.delta_plan(*[delta.row_digest(spark.createDataFrame(rows, schema), ["a", "b", "n", "x"], [])] * 2, ["a", "b", "n", "x"])
+    assert [tuple(r) for r in plan.groupBy("change_type").count().collect()] == [("unchanged", len(rows))]
+
+
+def test_diffs_and_merges_take_one_row_a_key(spark):
+    once = spark.createDataFrame([("a", 1.0), (None, 2.0)], "k string, x double")
+    twice = once.union(once)
+    for call in (frames.frame_diff, frames.merge_upsert):
+        for sides in ((once, twice), (twice, once)):
+            with pytest.raises(frames.DuplicateKeys):
+                call(*sides, ["k"])
+    assert {(r["k"], r["change_type"]) for r in frames.frame_diff(once, once, ["k"]).collect()} == {("a", "unchanged"), (None, "unchanged")}
+    assert frames.merge_upsert(once, once, ["k"]).count() == 2
+
+
 def test_serving_upsert_deletes_empty_rows(spark):
     target = spark.createDataFrame([(1, 1.0, 2.0), (2, 3.0, 4.0)], "k int, a double, b double")
     changes = spark.createDataFrame([(1, None, None), (3, None, 1.0)], "k int, a double, b double")
@@ -134,6 +154,9 @@ def test_scalar_files(spark, tmp_path):
     sdmx = written(tmp_path, "c.csv", "KEY,TIME_PERIOD,OBS_VALUE\nk,2024-01-02,0.5\nk,2024-01-03,.\nk,2024-01-04,\n")
     assert values(parsers.read_sdmx_csv(spark, sdmx)) == [(date(2024, 1, 2), 0.5)]
     assert parsers.read_sdmx_csv(spark, written(tmp_path, "d.csv", "No data\n")).count() == 0
+    assert parsers.read_sdmx_csv(spark, written(tmp_path, "g.csv", "")).count() == 0
+    with pytest.raises(ValueError, match="OBS_VALUE"):
+        parsers.read_sdmx_csv(spark, written(tmp_path, "h.csv", "KEY,PERIOD,VALUE\nk,2024-01-02,0.5\n"))
 
 
 def test_json_documents(spark, tmp_path):

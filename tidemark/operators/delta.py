@@ -2,24 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, DoubleType, FloatType, IntegralType, TimestampType
 
 from tidemark.functions.columns import canonical_number
 
 
+def _cell(df: DataFrame, name: str) -> Column:
+    """A cell as text that no other cell has: name, type, length and value; null is N, and so has neither length nor value."""
+    kind, value = df.schema[name].dataType, F.col(name).cast("string")
+    if isinstance(kind, DoubleType | FloatType):
+        tag, value = "F", F.nullif(canonical_number(F.col(name).cast("double")), F.lit("N"))
+    else:
+        tag = "I" if isinstance(kind, IntegralType) else "D" if isinstance(kind, DateType) else "T" if isinstance(kind, TimestampType) else "S"
+    framed = F.concat(F.lit(tag), F.length(value).cast("string"), F.lit(":"), value)
+    return F.concat(F.lit(f"{len(name)}:{name}"), F.coalesce(framed, F.lit("N")))
+
+
 def row_digest(df: DataFrame, key: list[str], numbers: list[str]) -> DataFrame:
-    """``key`` and row_sha256 of the named, typed and normalised cells; negative zero is zero, non-finite values raise."""
-    cells = [F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in key]
-    cells += [F.concat(F.lit(f"{c}="), canonical_number(c)) for c in numbers]
-    return df.select(*key, F.sha2(F.concat_ws("|", *cells), 256).alias("row_sha256"))
+    """``key`` and row_sha256 of the named, typed and framed cells; negative zero is zero, non-finite values raise."""
+    return df.select(*key, F.sha2(F.concat(*[_cell(df, c) for c in [*key, *numbers]]), 256).alias("row_sha256"))
 
 
 def delta_plan(source: DataFrame, target: DataFrame, key: list[str]) -> DataFrame:
     """``key`` and change_type (insert, update, delete, unchanged) between two digest tables; an omission is a deletion."""
-    joined = source.select(*key, F.col("row_sha256").alias("_new")).join(target.select(*key, F.col("row_sha256").alias("_old")), key, "full_outer")
+    old = target.select(*[F.col(k).alias(f"_{k}") for k in key], F.col("row_sha256").alias("_old"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in key])
+    joined = source.select(*key, F.col("row_sha256").alias("_new")).join(old, same, "full_outer")
     kind = F.when(F.col("_old").isNull(), "insert").when(F.col("_new").isNull(), "delete").when(F.col("_new") == F.col("_old"), "unchanged").otherwise("update")
-    return joined.select(*key, kind.alias("change_type"))
+    return joined.select(*[F.when(F.col("_new").isNull(), F.col(f"_{k}")).otherwise(F.col(k)).alias(k) for k in key], kind.alias("change_type"))
 
 
 def apply_delta(target: DataFrame, source: DataFrame, plan: DataFrame, key: list[str]) -> DataFrame:

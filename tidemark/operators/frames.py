@@ -31,20 +31,22 @@ def _same(columns: list[str]) -> Column:
 def frame_diff(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
     """``new`` with change_type: insert, unchanged or revision, by null-safe equality of payloads.
 
-    Rows of ``old`` alone are ignored: an omission is no deletion.
+    Rows of ``old`` alone are ignored: an omission is no deletion. Null keys are equal to each other. Several rows of one
+    key, in either table, raise DuplicateKeys.
     """
     if old.dtypes != new.dtypes:
         raise ValueError("the tables differ in columns or types")
     payload = [c for c in new.columns if c not in key]
-    there = old.withColumn("_there", F.lit(True)).alias("old")
-    joined = new.alias("new").join(there, [F.col(f"new.{k}") == F.col(f"old.{k}") for k in key], "left")
+    there = require_unique(old, key).withColumn("_there", F.lit(True)).alias("old")
+    joined = require_unique(new, key).alias("new").join(there, [F.col(f"new.{k}").eqNullSafe(F.col(f"old.{k}")) for k in key], "left")
     kind = F.when(F.col("old._there").isNull(), "insert").when(_same(payload), "unchanged").otherwise("revision")
     return joined.select(*[F.col(f"new.{c}") for c in new.columns], kind.alias("change_type"))
 
 
 def merge_upsert(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
-    """``old`` with the rows of ``new`` in place of those of their keys, and added."""
-    return old.join(new.select(*key), key, "left_anti").unionByName(new)
+    """``old`` with the rows of ``new`` in place of those of their keys, and added. Null keys are equal; several rows of one key raise DuplicateKeys."""
+    same = [F.col(f"old.{k}").eqNullSafe(F.col(f"new.{k}")) for k in key]
+    return require_unique(old, key).alias("old").join(require_unique(new, key).select(*key).alias("new"), same, "left_anti").unionByName(new)
 
 
 def stable_audit(old: DataFrame, new: DataFrame, key: list[str], audit: str) -> DataFrame:
@@ -116,9 +118,10 @@ def inventory(bars: DataFrame, by: str = "series_id", day: str = "observation_da
     return keyed.groupBy(by).agg(F.min(day).alias("first_date"), F.max(day).alias("last_date"), F.sum("n").alias("n_rows"), F.sum(F.when(F.col("n") > 1, F.col("n")).otherwise(0)).alias("n_duplicates"))
 
 
-def feature_profile(long: DataFrame, total: Column | int) -> DataFrame:
-    """Coverage, mean, least and most of each feature."""
-    return long.groupBy("feature").agg((F.count("value") / total).alias("coverage"), F.avg("value").alias("mean"), F.min("value").alias("least"), F.max("value").alias("most"))
+def feature_profile(long: DataFrame, total: DataFrame) -> DataFrame:
+    """Coverage, as a share of the one row of ``total``, mean, least and most of each feature."""
+    found = long.groupBy("feature").agg(F.count("value").alias("n"), F.avg("value").alias("mean"), F.min("value").alias("least"), F.max("value").alias("most"))
+    return found.crossJoin(F.broadcast(total)).select("feature", (F.col("n") / F.col("total")).alias("coverage"), "mean", "least", "most")
 
 
 def conformance_report(long: DataFrame, known: list[str]) -> DataFrame:

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from tidemark.plans.registry import IDS, REGISTRY
 
+#: Lags and windows of the correlations of returns.
+RETURN_CORRELATIONS = ((1, 96), (4, 96), (8, 192))
+
 KEYS = "series_id, observation_date"
 _BAR = """arg_min(o_totalprice, o_orderkey) AS open, max(o_totalprice) AS high, min(o_totalprice) AS low,
     arg_max(o_totalprice, o_orderkey) AS close, arg_max(o_totalprice, o_orderkey) AS level"""
@@ -60,26 +63,27 @@ def rounded(columns: dict[str, str], digits: int = 6) -> str:
     return ", ".join(f"round({x}, {digits}) AS {n}" for n, x in columns.items())
 
 
-def level_sql(family: str, bars: str = BARS1, source: str = "b") -> str:
+def level_sql(family: str | None, bars: str = BARS1, source: str = "b", digits: int = 6) -> str:
     more = f", {GAPS}" if source == "g" else ""
-    return f"WITH {bars}{more}, {lagged(source)} SELECT {KEYS}, {rounded(LEVEL[family])} FROM l"
+    columns = LEVEL[family] if family else {n: x for made in LEVEL.values() for n, x in made.items()}
+    return f"WITH {bars}{more}, {lagged(source)} SELECT {KEYS}, {rounded(columns, digits)} FROM l"
 
 
-def valid_sql(name: str, value: str, valid: str, n: int) -> str:
+def valid_sql(name: str, value: str, valid: str, n: int, bars: str = BARS1, digits: int = 6) -> str:
     """``value`` over the last n rows that meet ``valid`` alone, left-joined to all rows with a level."""
-    return f"""WITH {BARS1}, {lagged('b')}, m AS (SELECT *, {_full('lr_1', 8, f'stddev_samp(lr_1) {w(8)}')} AS vol8 FROM l),
+    return f"""WITH {bars}, {lagged('b')}, m AS (SELECT *, {_full('lr_1', 8, f'stddev_samp(lr_1) {w(8)}')} AS vol8 FROM l),
 v AS (SELECT *, count(*) {w(n)} AS k FROM m WHERE {valid}), f AS (SELECT {KEYS}, CASE WHEN k = {n} THEN {value} END AS x FROM v)
-SELECT l.series_id, l.observation_date, round(f.x, 6) AS {name} FROM l LEFT JOIN f USING (series_id, observation_date)"""
+SELECT l.series_id, l.observation_date, round(f.x, {digits}) AS {name} FROM l LEFT JOIN f USING (series_id, observation_date)"""
 
 
 def _z(x: str, n: int) -> str:
     return f"({x} - avg({x}) {w(n)}) / nullif(stddev_samp({x}) {w(n)}, 0)"
 
 
-def bar_metric_sql(name: str, value: str, valid: str) -> str:
-    return f"""WITH {BARS1}, p AS (SELECT *, last_value(close IGNORE NULLS) OVER (PARTITION BY series_id ORDER BY observation_date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pc FROM b),
+def bar_metric_sql(name: str, value: str, valid: str, bars: str = BARS1, digits: int = 6) -> str:
+    return f"""WITH {bars}, p AS (SELECT *, last_value(close IGNORE NULLS) OVER (PARTITION BY series_id ORDER BY observation_date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pc FROM b),
 v AS (SELECT {KEYS}, {value} AS x FROM p WHERE {valid}), f AS (SELECT *, CASE WHEN count(*) {w(5)} = 5 THEN avg(x) {w(5)} END AS y FROM v)
-SELECT b.series_id, b.observation_date, round(f.x, 6) AS {name}_1obs, round(f.y, 6) AS {name}_5obs FROM b LEFT JOIN f USING (series_id, observation_date)"""
+SELECT b.series_id, b.observation_date, round(f.x, {digits}) AS {name}_1obs, round(f.y, {digits}) AS {name}_5obs FROM b LEFT JOIN f USING (series_id, observation_date)"""
 
 
 _STOCH = f"""k AS (SELECT *, CASE WHEN count(*) {w(5)} = 5 THEN 100 * (close - min(low) {w(5)}) / nullif(max(high) {w(5)} - min(low) {w(5)}, 0) END AS k5,
@@ -87,12 +91,13 @@ CASE WHEN count(*) {w(14)} = 14 THEN 100 * (close - min(low) {w(14)}) / nullif(m
 d AS (SELECT *, CASE WHEN count(k5) {w(3)} = 3 THEN avg(k5) {w(3)} END AS d5, CASE WHEN count(k14) {w(3)} = 3 THEN avg(k14) {w(3)} END AS d14, lag(k5, 3) {P} AS k5_3 FROM k)"""
 
 
-def stochastic_sql(columns: dict[str, str]) -> str:
-    return f"WITH {BARS1}, {_STOCH} SELECT {KEYS}, {rounded(columns)} FROM d"
+def stochastic_sql(columns: dict[str, str], bars: str = BARS1, digits: int = 6) -> str:
+    return f"WITH {bars}, {_STOCH} SELECT {KEYS}, {rounded(columns, digits)} FROM d"
 
 
 _PRIOR = "OVER (PARTITION BY series_id ORDER BY observation_date ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING)"
-DONCHIAN = f"WITH {BARS1} SELECT {KEYS}, CASE WHEN count(*) {_PRIOR} = 20 THEN CAST(high > max(high) {_PRIOR} AS DOUBLE) END AS donchian_breakout_up, CASE WHEN count(*) {_PRIOR} = 20 THEN CAST(low < min(low) {_PRIOR} AS DOUBLE) END AS donchian_breakout_down FROM b"
+_DONCHIAN = f"SELECT {KEYS}, CASE WHEN count(*) {_PRIOR} = 20 THEN CAST(high > max(high) {_PRIOR} AS DOUBLE) END AS donchian_breakout_up, CASE WHEN count(*) {_PRIOR} = 20 THEN CAST(low < min(low) {_PRIOR} AS DOUBLE) END AS donchian_breakout_down FROM b"
+DONCHIAN = f"WITH {BARS1} {_DONCHIAN}"
 
 
 def _ema_step(n: int, x: str) -> str:
@@ -150,14 +155,39 @@ WHEN e5 < e9 AND lag(e5) {P} >= lag(e9) {P} THEN -1.0 ELSE 0.0 END"""
 }
 
 
-def trend_sql(family: str, source: str = "b") -> str:
+def trend_sql(family: str | None, source: str = "b", digits: int = 6) -> str:
     more = f", {GAPS}" if source == "g" else ""
-    return f"WITH RECURSIVE {BARS2}{more}, {ema_ctes(source)} SELECT {KEYS}, {rounded(TREND[family])} FROM e"
+    columns = TREND[family] if family else {n: x for made in TREND.values() for n, x in made.items()}
+    return f"WITH RECURSIVE {BARS2}{more}, {ema_ctes(source)} SELECT {KEYS}, {rounded(columns, digits)} FROM e"
 
 
-def rsi_sql(columns: dict[str, str], periods: tuple[int, ...], source: str = "b") -> str:
+def rsi_sql(columns: dict[str, str], periods: tuple[int, ...], source: str = "b", digits: int = 6) -> str:
     more = f", {GAPS}" if source == "g" else ""
-    return f"WITH RECURSIVE {BARS2}{more}, {wilder_ctes(source, periods)} SELECT {KEYS}, {rounded(columns)} FROM a"
+    return f"WITH RECURSIVE {BARS2}{more}, {wilder_ctes(source, periods)} SELECT {KEYS}, {rounded(columns, digits)} FROM a"
 
 
 UNITS = "u AS (SELECT * FROM (VALUES " + ", ".join(f"('{s.series_id}', '{s.native_shape}', '{s.unit}', '{s.provider}')" for s in REGISTRY) + ") AS t(series_id, native_shape, unit, provider))"
+
+VALID_ONLY: dict[str, tuple[str, str, int]] = {
+    "volatility_zscore_96": (_z("vol8", 96), "vol8 IS NOT NULL", 96),
+    "level_zscore_96": (_z("level", 96), "level > 0", 96),
+    **{f"momentum_autocorr_lag{k}_window{n}": (_corr("lr_1", f"lr1_lag_{k}", n), f"lr_1 IS NOT NULL AND lr1_lag_{k} IS NOT NULL", n) for k, n in RETURN_CORRELATIONS},
+}
+BAR_METRICS = {"high_low_range": ("(high - low) / close", "close > 0"), "intraday_return": ("(close - open) / open", "open > 0"), "overnight_gap": ("(open - pc) / pc", "pc > 0")}
+STOCHASTIC = {"stoch_k_5": "k5", "stoch_k_14": "k14", "stoch_d_5_3": "d5", "stoch_d_14_3": "d14", "stoch_kd_spread_5": "k5 - d5", "stoch_k_slope_3": "(k5 - k5_3) / 3"}
+RSI = {**{f"rsi_{n}obs": f"rsi_{n}" for n in (3, 5, 7, 14)}, "rsi_ratio_5_15": "rsi_5 / nullif(rsi_15, 0)", "rsi5_slope_3": f"(rsi_5 - lag(rsi_5, 3) {P}) / 3", "rsi5_delta_1": f"rsi_5 - lag(rsi_5, 1) {P}"}
+MACD = {"macd_hist_relative": "hist", "macd_hist_delta_3": f"hist - lag(hist, 3) {P}"}
+
+
+def catalog_ctes(specs: list[tuple[str, str, str]], cross: str, digits: int) -> str:
+    """CTE ``c`` (observation_date, feature_name, value): every feature of ``specs`` (name, series, feature) by its family's SQL, and those of ``cross``."""
+    families = [level_sql(None, BARS2, digits=digits), trend_sql(None, digits=digits), rsi_sql(RSI, (3, 5, 7, 14, 15), digits=digits)]
+    families += [valid_sql(name, *how, BARS2, digits) for name, how in VALID_ONLY.items()]
+    families += [bar_metric_sql(name, *how, BARS2, digits) for name, how in BAR_METRICS.items()]
+    families += [stochastic_sql(STOCHASTIC, BARS2, digits), f"WITH {BARS2} {_DONCHIAN}"]
+    families.append(f"WITH RECURSIVE {BARS2}, {ema_ctes('b', (12, 26))}, {signal_ctes()} SELECT {KEYS}, {rounded(MACD, digits)} FROM h")
+    long = " UNION ALL ".join(f"(SELECT {KEYS}, feature, CAST(value AS DOUBLE) AS value FROM (UNPIVOT ({sql}) ON COLUMNS(* EXCLUDE ({KEYS})) INTO NAME feature VALUE value))" for sql in families)
+    names = ", ".join(f"('{name}', '{series}', '{feature}')" for name, series, feature in specs if series)
+    return f"""k(feature_name, series_id, feature) AS (VALUES {names}), f AS ({long}),
+c AS (SELECT observation_date, feature_name, value + 0.0 AS value FROM f JOIN k USING (series_id, feature) WHERE isfinite(value)
+UNION ALL SELECT observation_date, feature_name, value + 0.0 FROM (UNPIVOT ({cross}) ON COLUMNS(* EXCLUDE (observation_date)) INTO NAME feature_name VALUE value) WHERE isfinite(value))"""

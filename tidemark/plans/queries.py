@@ -237,19 +237,28 @@ def catalog_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("feature_profile", f"""WITH {_LONG_CTE} SELECT feature, round(count(value) / (SELECT count(*) FROM b), 6) AS coverage, round(avg(value), 6) AS mean, round(min(value), 6) AS least, round(max(value), 6) AS most
 FROM n GROUP BY feature""")
 def feature_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    total = bars_by_priority(spark, sf_dir).count()
-    out = frames.feature_profile(_long(spark, sf_dir), F.lit(total))
+    out = frames.feature_profile(_long(spark, sf_dir), bars_by_priority(spark, sf_dir).agg(F.count("*").alias("total")))
     return out.select("feature", *[F.round(c, 6).alias(c) for c in ("coverage", "mean", "least", "most")])
 
 
-@register("macro_features_long")
+_CATALOG_CTE = O.catalog_ctes(
+    [(x.name, x.series_id, x.feature) for x in catalog.CATALOG],
+    f"""{_CROSS} SELECT observation_date, round(CASE WHEN vix > 0 THEN vix9d / vix END, 4) AS vix9d_vix_ratio, round(CASE WHEN vix3m > 0 THEN vix / vix3m END, 4) AS vix_vix3m_ratio,
+round(CASE WHEN vix9d > 0 AND vix3m > 0 THEN ln(vix9d / vix3m) END, 4) AS vix9d_vix3m_log_ratio, round(vix3m - vix, 4) AS vix3m_minus_vix, round(vix6m - vix, 4) AS vix6m_minus_vix,
+round(vix1y - vix, 4) AS vix1y_minus_vix, round(us_10y - us_2y, 4) AS us_10y_minus_us_2y FROM x""",
+    4,
+)
+
+
+@register("macro_features_long", f"""WITH {_CATALOG_CTE} SELECT observation_date, CAST(observation_date + CASE isodow(observation_date) WHEN 5 THEN 3 WHEN 6 THEN 2 ELSE 1 END AS TIMESTAMP) AS available_at_utc,
+feature_name, value FROM c""")
 def macro_features_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return catalog.macro_features_long(bars_by_nation(spark, sf_dir))
+    return catalog.macro_features_long(bars_by_nation(spark, sf_dir)).withColumn("value", F.round("value", 4))
 
 
-@register("macro_feature_counts", f"WITH {O.BARS2} SELECT series_id || '_log_level' AS feature_name, count(*) AS n_rows FROM b WHERE series_id <> 'estr' GROUP BY series_id")
+@register("macro_feature_counts", f"WITH {_CATALOG_CTE} SELECT feature_name, count(*) AS n_rows FROM c GROUP BY feature_name")
 def macro_feature_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return catalog.macro_features_long(bars_by_nation(spark, sf_dir)).where("feature_name like '%\\_log\\_level'").groupBy("feature_name").agg(F.count("*").alias("n_rows"))
+    return macro_features_long(spark, sf_dir).groupBy("feature_name").agg(F.count("*").alias("n_rows"))
 
 
 @register("macro_feature_counts_all")
@@ -281,8 +290,7 @@ def population_verify_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("feature_profile_all")
 def feature_profile_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Coverage is of the dates that have a bar of any series."""
-    days = bars_by_nation(spark, sf_dir).select("observation_date").distinct().count()
-    out = frames.feature_profile(_whole(spark, sf_dir), F.lit(days))
+    out = frames.feature_profile(_whole(spark, sf_dir), bars_by_nation(spark, sf_dir).agg(F.count_distinct("observation_date").alias("total")))
     return out.select("feature", *[F.round(c, 6).alias(c) for c in ("coverage", "mean", "least", "most")])
 
 
@@ -408,13 +416,20 @@ def _cents(df: DataFrame) -> DataFrame:
     return df.select(*KEYS, F.round(F.col("level") * 100).cast("long").alias("cents"))
 
 
-_DIGEST = "sha256('series_id=' || series_id || '|observation_date=' || CAST(observation_date AS VARCHAR) || '|cents=' || coalesce('F' || CAST(CAST(round(level * 100) AS BIGINT) AS VARCHAR), 'N'))"
+def _framed(tag: str, cell: str) -> str:
+    return f"CASE WHEN {cell} IS NULL THEN 'N' ELSE '{tag}' || length(CAST({cell} AS VARCHAR)) || ':' || CAST({cell} AS VARCHAR) END"
+
+
+def _digest_sql(day: str = "observation_date") -> str:
+    cents = "CAST(round(level * 100) AS BIGINT)"
+    return f"sha256('9:series_id' || {_framed('S', 'series_id')} || '16:observation_date' || {_framed('D', day)} || '5:cents' || {_framed('I', cents)})"
+
+
+_DIGEST = _digest_sql()
 
 
 def _digests(df: DataFrame) -> DataFrame:
-    cells = [F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in KEYS]
-    cents = F.concat(F.lit("cents="), F.coalesce(F.concat(F.lit("F"), F.col("cents").cast("string")), F.lit("N")))
-    return _cents(df).select(*KEYS, F.sha2(F.concat_ws("|", *cells, cents), 256).alias("row_sha256"))
+    return delta.row_digest(_cents(df), KEYS, ["cents"])
 
 
 @register("row_digest", f"WITH {_SIDES} SELECT {O.KEYS}, {_DIGEST} AS row_sha256 FROM old")
@@ -447,13 +462,10 @@ def target_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return delta.target_summary(_sides(spark, sf_dir)[0], "observation_date", ["level"])
 
 
-@register("input_signature", f"""WITH {O.BARS1} SELECT series_id, count(*) AS n_rows, min(observation_date) AS first_date, max(observation_date) AS last_date,
-sha256(string_agg(CAST(observation_date AS VARCHAR) || ':' || CAST(CAST(round(level * 100) AS BIGINT) AS VARCHAR), ',' ORDER BY observation_date)) AS signature FROM b GROUP BY series_id""")
+@register("input_signature", f"""WITH {O.BARS1}, d AS (SELECT {O.KEYS}, {_DIGEST} AS x FROM b) SELECT series_id, count(*) AS n_rows, min(observation_date) AS first_date, max(observation_date) AS last_date,
+sha256(string_agg(CAST(observation_date AS VARCHAR) || ':' || x, ',' ORDER BY observation_date)) AS signature FROM d GROUP BY series_id""")
 def input_signature(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _cents(bars_by_priority(spark, sf_dir))
-    # a series' history of days is what one digest is of
-    history = F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", F.col("observation_date").cast("string"), F.col("cents").cast("string")))), ",")
-    return rows.groupBy("series_id").agg(F.count("*").alias("n_rows"), F.min("observation_date").alias("first_date"), F.max("observation_date").alias("last_date"), F.sha2(history, 256).alias("signature"))
+    return delta.input_signature(_cents(bars_by_priority(spark, sf_dir)), "series_id", "observation_date", ["cents"])
 
 
 # catalog of builds --------------------------------------------------------------------------------------------------

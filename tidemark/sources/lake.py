@@ -9,8 +9,8 @@ CATALOG_SCHEMA = "build_id string, path string, status string, schema_version in
 
 
 def observation_bounds(df: DataFrame, day: str) -> DataFrame:
-    """First and last day; Parquet statistics may answer it."""
-    return df.agg(F.min(F.to_date(day)).alias("first_date"), F.max(F.to_date(day)).alias("last_date"))
+    """First and last day of a column of dates or times; Parquet statistics may answer it, as it is cast only afterwards."""
+    return df.agg(F.min(day).alias("first_date"), F.max(day).alias("last_date")).select(F.to_date("first_date").alias("first_date"), F.to_date("last_date").alias("last_date"))
 
 
 def write_changed_months(table: DataFrame, diff: DataFrame, path: str, day: str = "observation_date", by: str = "series_id") -> int:

@@ -7,6 +7,8 @@ whole bars, invalid bars raise PayloadError.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,6 +44,10 @@ def _unique(df: DataFrame) -> DataFrame:
     return df
 
 
+# What pages say that stand in for a payload without data.
+NO_DATA = ("no record", "no result", "no data", "security concerns", "access has been blocked")
+
+
 def _delimited(spark: SparkSession, path: str, sep: str) -> DataFrame:
     raw = spark.read.option("header", True).option("sep", sep).option("mode", "FAILFAST").csv(path)
     return raw.toDF(*[c.strip().lower() for c in raw.columns])
@@ -80,10 +86,14 @@ def read_scalar_delimited(spark: SparkSession, path: str, symbol: str, value_nam
 
 
 def read_sdmx_csv(spark: SparkSession, path: str) -> DataFrame:
-    """TIME_PERIOD and OBS_VALUE; empty and "." values are absent. A payload without these columns is one without data."""
+    """TIME_PERIOD and OBS_VALUE; empty and "." values are absent. An empty payload, or a page that says so, is one without data; any other one without these columns raises."""
     raw = _delimited(spark, path, ",")
     if not {"time_period", "obs_value"} <= set(raw.columns):
-        return spark.createDataFrame([], SCALAR)
+        page = spark.read.text(path, wholetext=True)
+        said = reduce(lambda a, b: a | b, [F.lower("value").contains(x) for x in NO_DATA], F.trim("value") == "")
+        if page.where(~said).isEmpty():
+            return spark.createDataFrame([], SCALAR)
+        raise ValueError(f"{path} has no columns TIME_PERIOD and OBS_VALUE")
     rows = raw.where(~F.coalesce(F.trim("obs_value"), F.lit("")).isin("", "."))
     rows = rows.select(dates(F.col("time_period"), "yyyy-MM-dd").alias("observation_date"), F.expr("try_cast(trim(obs_value) as double)").alias("value"))
     return _unique(_check(rows, F.col("observation_date").isNull() | ~F.coalesce(finite("value"), F.lit(False)), "a date or value is malformed"))
