@@ -152,11 +152,7 @@ def gold_wide_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frames.gold_wide(bars_by_nation(spark, sf_dir), list(IDS), list(OHLC))
 
 
-@register("gold_full_outer_chain", f"WITH {O.BARS2} SELECT observation_date, {', '.join(f'max(level) FILTER (series_id = {s!r}) AS {s}_level' for s in IDS[:6])} FROM b WHERE series_id IN {IDS[:6]} GROUP BY observation_date")
-def gold_full_outer_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return frames.gold_outer_chain(bars_by_nation(spark, sf_dir), list(IDS[:6]))
-
-
+@register("gold_full_outer_chain", f"WITH {O.BARS2} SELECT observation_date, {_WIDE} FROM b GROUP BY observation_date")
 @register("gold_full_outer_chain_all", f"WITH {O.BARS2} SELECT observation_date, {_WIDE} FROM b GROUP BY observation_date")
 def gold_full_outer_chain_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     bars = bars_by_nation(spark, sf_dir).repartition("observation_date").persist()  # read by each of the joins
