@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -54,32 +55,31 @@ def latest_compatible(catalog: DataFrame, least_schema: int, feature_version: in
 
 
 class BuildCatalog:
-    """A small table of builds under ``root``, each a directory of its own that is written once.
+    """The builds under ``root``, each a directory of its own that is written once.
 
-    A build is registered as building, becomes complete or failed, and only a complete one is ever read. Each change
-    writes a new version of the table; the highest complete version counts.
+    A build is registered as building, becomes complete or failed, and only a complete one is ever read. What happens to
+    builds is appended to a Parquet table of events; a build's last event is its state.
     """
 
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark, self.root = spark, root.rstrip("/")
 
+    def events(self) -> DataFrame:
+        schema = f"{CATALOG_SCHEMA}, recorded_at_utc timestamp"
+        try:
+            return self.spark.read.schema(schema).parquet(f"{self.root}/catalog")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], schema)  # no build so far
+
     def table(self) -> DataFrame:
-        versions = self._versions()
-        return self.spark.read.schema(CATALOG_SCHEMA).parquet(f"{self.root}/catalog/v{versions[-1]:08d}") if versions else self.spark.createDataFrame([], CATALOG_SCHEMA)
-
-    def _versions(self) -> list[int]:
-        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/catalog")
-        fs = path.getFileSystem(conf)
-        if not fs.exists(path):
-            return []
-        names = [s.getPath().getName() for s in fs.listStatus(path)]
-        return sorted(int(n[1:]) for n in names if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{self.root}/catalog/{n}/_SUCCESS")))
-
-    def _put(self, row: DataFrame) -> None:
-        now = self.table()
-        after = now.join(row.select("build_id"), "build_id", "left_anti").unionByName(row)
-        after.coalesce(1).write.mode("errorifexists").parquet(f"{self.root}/catalog/v{(self._versions() or [0])[-1] + 1:08d}")  # a row for each build
+        """One row for each build."""
+        last = Window.partitionBy("build_id").orderBy(F.desc("recorded_at_utc"))
+        return self.events().withColumn("place", F.row_number().over(last)).where("place = 1").drop("place", "recorded_at_utc")
+
+    def _put(self, rows: DataFrame) -> None:
+        rows.withColumn("recorded_at_utc", F.current_timestamp()).write.mode("append").parquet(f"{self.root}/catalog")
 
     def publish(self, build_id: str, data: DataFrame, schema_version: int, feature_version: int) -> str:
         """Writes ``data`` as an immutable build and promotes it; on failure the build is marked failed and the error raised."""
@@ -103,11 +103,11 @@ class BuildCatalog:
         """Marks builds left building by a lost run as failed."""
         stale = self.table().where("status = 'building'").withColumn("status", F.lit("failed"))
         if not stale.isEmpty():
-            self._put(stale.select(*[f.name for f in self.table().schema.fields]))
+            self._put(stale)
 
     def prune(self, keep: int = 5) -> list[str]:
         """Gives up complete builds beyond the newest ``keep`` of their versions: first in the catalog, then on disk."""
-        old = superseded_builds(self.table(), keep).withColumn("status", F.lit("pruned")).cache()
+        old = superseded_builds(self.table(), keep).withColumn("status", F.lit("pruned"))
         rows = old.collect()  # a row for each build
         if rows:
             self._put(old)
@@ -115,7 +115,6 @@ class BuildCatalog:
         for row in self.table().where("status = 'pruned'").collect():
             path = fs_path(row["path"])
             path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-        old.unpersist()
         return sorted(r["build_id"] for r in rows)
 
     def read(self, least_schema: int, feature_version: int) -> DataFrame:
