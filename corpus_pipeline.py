@@ -51,7 +51,8 @@ STAGES = [
     ("best_fit_packing", pack),
 ]
 
-#: SQL can't express the learned rules, the sampling or the packing; tests hold each stage against brute force.
+#: SQL can't express the learned rules, the sampling or the packing; tests hold the
+#: near-duplicate and mixing stages against brute force here, and the operators of the others in tests of their own.
 ORACLE_SQL = None
 
 
