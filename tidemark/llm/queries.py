@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import cotraining, exact_topk, line_dedup, mixing, ngram_join, packing, quality_rules, secrets, sharding, token_counts
+from tidemark.llm import conversation_trie, cotraining, exact_dedup, exact_topk, line_dedup, mixing, ngram_join, packing, quality_rules, secrets, sharding, token_counts, vector_codes
 from tidemark.llm.tables import read_texts
 
 #: Where the vocabulary files of public tokenizers are.
@@ -65,6 +65,21 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(findings, ["doc_id"])
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.trie(_read(spark, sf_dir, "conversations"))
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of the lower half of the range of ids are the history, the others arrive; the result has all."""
+    docs = _read(spark, sf_dir, "documents")
+    least, most = docs.agg(F.min("doc_id"), F.max("doc_id")).first()
+    return exact_dedup.dedup(docs, "false" if least is None else f"id <= {(least + most) // 2}")
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(_read(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
@@ -76,8 +91,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_quality_rules": op9_quality_rules,
     "op10_secret_scan": op10_secret_scan,
+    "op11_conversation_trie": op11_conversation_trie,
+    "op12_exact_dedup": op12_exact_dedup,
+    "op13_vector_codes": op13_vector_codes,
 }
 
+#: The CRC-32 of a short ASCII text, bit by bit.
+_CRC = """xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(1, length({0}) + 1), lambda i: CAST(ascii({0}[i]) AS BIGINT))),
+    lambda a, b: list_reduce(list_prepend(xor(a, b), CAST(range(8) AS BIGINT[])), lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)))"""
+#: (vec_id, part, entry) nearest to each part by the books {0}.
+_NEAREST = """SELECT r, part, CAST(arg_min(entry, (away, entry)) AS BIGINT) AS entry, CAST(min(away) AS BIGINT) AS away FROM (SELECT p.r, part, b.entry,
+    list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - c[i]) * (x[i] - c[i]))) AS away FROM p JOIN {0} b USING (part)) GROUP BY r, part"""
+#: The books {0} after the parts were assigned as {1} says.
+_MOVED = """SELECT part, entry, coalesce(m.c, b.c) AS c FROM {0} b LEFT JOIN (SELECT part, entry, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c FROM
+    (SELECT part, entry, i, CAST(sum(x[i]) AS BIGINT) AS s, count(*) AS n FROM p JOIN {1} USING (r, part), range(1, len(x) + 1) AS t(i) GROUP BY ALL) GROUP BY part, entry) m USING (part, entry)"""
+
 _WORDS = r"list_filter(regexp_split_to_array({}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -98,4 +126,30 @@ s AS (SELECT q.vec_id AS query_id, x.vec_id, CAST(list_sum(list_transform(range(
     FROM v q JOIN v x ON q.vec_id % 50 = 0 AND q.vec_id <> x.vec_id AND len(q.c) = len(x.c)),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op11_conversation_trie": f"""
+WITH own AS (SELECT conv_id, list((coalesce(role, ''), coalesce(text, '')) ORDER BY turn NULLS FIRST) AS t FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+h AS (SELECT conv_id, t, {_CRC.format('CAST(conv_id AS VARCHAR)')} % 6 AS h FROM own),
+s AS (SELECT h.conv_id, list_concat(coalesce(b.t, [])[1:h.h], h.t[h.h + 1:]) AS s FROM h LEFT JOIN own b ON b.conv_id = h.conv_id - h.conv_id % 100),
+x AS (SELECT conv_id, s, d, s[1:d] AS p FROM s, range(len(s) + 1) AS t(d)),
+n AS (SELECT p, d, min(conv_id) AS conv_id, count(*) AS n_convs, sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (d = len(s)), '')) AS ends_sha256 FROM x GROUP BY p, d),
+k AS (SELECT p[1:d - 1] AS p, count(*) AS n_children FROM n WHERE d > 0 GROUP BY ALL),
+m AS (SELECT n.*, coalesce(n_children, 0) AS n_children, CASE WHEN d = 0 THEN 0 ELSE (n_convs - 1) * length(p[d][2]) END AS own FROM n LEFT JOIN k ON k.p = n.p AND len(k.p) = n.d),
+u AS (SELECT m.p[1:t.a] AS p, sum(own) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves FROM m, range(d + 1) AS t(a) GROUP BY ALL)
+SELECT m.conv_id, CAST(m.d AS BIGINT) AS depth, up.conv_id AS parent_conv_id, m.n_convs, m.n_children, u.n_leaves, CAST(u.saved_tokens AS BIGINT) AS saved_tokens, m.ends_sha256
+FROM m JOIN u ON u.p = m.p LEFT JOIN m up ON m.d > 0 AND up.d = m.d - 1 AND up.p = m.p[1:m.d - 1]""",
+    "op12_exact_dedup": r"""
+WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256 FROM documents)
+SELECT doc_id, first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY n DESC, doc_id) AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size,
+    row_number() OVER (PARTITION BY text_sha256 ORDER BY n DESC, doc_id) = 1 AS kept, text_sha256 FROM d""",
+    "op13_vector_codes": f"""
+WITH kept AS (SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+    WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+p AS MATERIALIZED (SELECT r, part, v[part * (len(v) // 16) + 1:(part + 1) * (len(v) // 16)] AS x FROM kept, range(16) AS t(part)),
+b0 AS (SELECT part, r - 1 AS entry, x AS c FROM p WHERE r <= 64),
+a1 AS MATERIALIZED ({_NEAREST.format('b0')}), b1 AS MATERIALIZED ({_MOVED.format('b0', 'a1')}),
+a2 AS MATERIALIZED ({_NEAREST.format('b1')}), b2 AS MATERIALIZED ({_MOVED.format('b1', 'a2')}),
+a3 AS MATERIALIZED ({_NEAREST.format('b2')}),
+c AS (SELECT r, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(away) AS BIGINT) AS error FROM a3 GROUP BY r)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+    (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) FROM b2) AS codebooks_sha256 FROM kept JOIN c USING (r)""",
 }
