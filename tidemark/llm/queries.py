@@ -133,7 +133,7 @@ s AS (SELECT h.conv_id, list_concat(coalesce(b.t, [])[1:h.h], h.t[h.h + 1:]) AS
 x AS (SELECT conv_id, s, d, s[1:d] AS p FROM s, range(len(s) + 1) AS t(d)),
 n AS (SELECT p, d, min(conv_id) AS conv_id, count(*) AS n_convs, sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (d = len(s)), '')) AS ends_sha256 FROM x GROUP BY p, d),
 k AS (SELECT p[1:d - 1] AS p, count(*) AS n_children FROM n WHERE d > 0 GROUP BY ALL),
-m AS (SELECT n.*, coalesce(n_children, 0) AS n_children, CASE WHEN d = 0 THEN 0 ELSE (n_convs - 1) * length(p[d][2]) END AS own FROM n LEFT JOIN k ON k.p = n.p AND len(k.p) = n.d),
+m AS (SELECT n.*, coalesce(n_children, 0) AS n_children, CASE WHEN d = 0 THEN 0 ELSE (n_convs - 1) * length(n.p[d][2]) END AS own FROM n LEFT JOIN k ON k.p = n.p AND len(k.p) = n.d),
 u AS (SELECT m.p[1:t.a] AS p, sum(own) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves FROM m, range(d + 1) AS t(a) GROUP BY ALL)
 SELECT m.conv_id, CAST(m.d AS BIGINT) AS depth, up.conv_id AS parent_conv_id, m.n_convs, m.n_children, u.n_leaves, CAST(u.saved_tokens AS BIGINT) AS saved_tokens, m.ends_sha256
 FROM m JOIN u ON u.p = m.p LEFT JOIN m up ON m.d > 0 AND up.d = m.d - 1 AND up.p = m.p[1:m.d - 1]""",
