@@ -1,3 +1,4 @@
+import hashlib
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -7,7 +8,7 @@ from tidemark.functions.columns import next_weekday
 from tidemark.operators import delta, features, frames
 from tidemark.plans import catalog
 from tidemark.plans.registry import IDS, OHLC
-from tidemark.sources import lake, parsers
+from tidemark.sources import commits, lake, parsers
 
 SCHEMA = "series_id string, observation_date date, level double, fetched_at_utc timestamp"
 DAY, OLD, NEW = date(2024, 1, 1), datetime(2024, 2, 1), datetime(2024, 2, 2)
@@ -76,6 +77,44 @@ def test_diffs_and_merges_take_one_row_a_key(spark):
     assert frames.merge_upsert(once, once, ["k"]).count() == 2
 
 
+def test_audit_takes_one_row_a_key_and_null_keys(spark):
+    once = spark.createDataFrame([("a", 1.0, OLD), (None, 2.0, OLD)], "k string, x double, at timestamp")
+    new = once.withColumn("at", F.lit(NEW).cast("timestamp"))
+    assert {r["at"] for r in frames.stable_audit(once, new, ["k"], "at").collect()} == {OLD}
+    for sides in ((once.union(once), new), (once, new.union(new))):
+        with pytest.raises(frames.DuplicateKeys):
+            frames.stable_audit(*sides, ["k"], "at")
+
+
+def test_delta_of_null_keys_and_without_state(spark):
+    source, target = (spark.createDataFrame([(None, x), ("a", 1.0)], "k string, x double") for x in (1.0, 2.0))
+    a, b = (delta.row_digest(t, ["k"], ["x"]) for t in (source, target))
+    after = delta.apply_delta(target, source, delta.delta_plan(a, b, ["k"]), ["k"])
+    assert after.count() == 2 and delta.digest_mismatches(a, delta.row_digest(after, ["k"], ["x"]), ["k"]).isEmpty()
+    state = spark.createDataFrame([], "build_id string")
+    with pytest.raises(delta.StateMissing):
+        delta.delta_plan(a, b, ["k"], state)
+    assert delta.delta_plan(a, b.limit(0), ["k"], state).count() == 2
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Pacific/Apia"])
+def test_days_and_digests_are_of_no_time_zone(spark, tmp_path, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        chart = '{"chart": {"result": [{"timestamp": [1704153600, 1704326399, -1], "indicators": {"quote": [{"open": [1, 1, 1], "high": [2, 2, 2], "low": [0.5, 0.5, 0.5], "close": [1, 1, 1]}]}}]}}'
+        found = parsers.read_chart_json(spark, written(tmp_path, "z.json", chart)).collect()
+        assert sorted(r["observation_date"] for r in found) == [date(1969, 12, 31), date(2024, 1, 2), date(2024, 1, 3)]
+        at = spark.range(1).select(F.unix_seconds(next_weekday(F.lit("2024-03-08").cast("date"))).alias("s")).first()["s"]
+        assert at == 1710115200  # Monday, 00:00 UTC
+        # two moments that are one local time in New York
+        times = spark.range(2).select("id", F.timestamp_seconds(F.lit(1604208600) + 3600 * F.col("id")).alias("t"))
+        digests = [r["row_sha256"] for r in delta.row_digest(times.select(F.lit(1).alias("id"), "t"), ["id"], ["t"]).collect()]
+        assert len(set(digests)) == 2 and sorted(digests) == sorted(hashlib.sha256(f"2:idI1:11:tT16:{(1604208600 + 3600 * i) * 10**6}".encode()).hexdigest() for i in range(2))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_serving_upsert_deletes_empty_rows(spark):
     target = spark.createDataFrame([(1, 1.0, 2.0), (2, 3.0, 4.0)], "k int, a double, b double")
     changes = spark.createDataFrame([(1, None, None), (3, None, 1.0)], "k int, a double, b double")
@@ -111,22 +150,62 @@ def test_build_catalog(spark, tmp_path):
     data = spark.createDataFrame([(1,)], "x int")
     builds.publish("20240101T000000Z", data, 11, 6)
     builds.publish("20240102T000000Z", data.unionByName(data), 11, 6)
-    assert builds.read(10, 6).count() == 2
-    with pytest.raises(Exception):
+    assert builds.read(10, 6).count() == 2 and builds.table().where("is_current").count() == 1
+    with pytest.raises(ValueError, match="already"):
         builds.publish("20240102T000000Z", data, 11, 6)
-    assert {r["build_id"]: r["status"] for r in builds.table().collect()}["20240102T000000Z"] == "failed"
-    assert builds.read(10, 6).count() == 1
+    assert {r["build_id"]: r["status"] for r in builds.table().collect()}["20240102T000000Z"] == "complete"
+    assert builds.read(10, 6).count() == 2  # the refused one has changed nothing
     with pytest.raises(LookupError):
         builds.read(12, 6)
     for day in range(3, 9):
         builds.publish(f"2024010{day}T000000Z", data, 11, 6)
-    assert builds.prune(keep=5) == ["20240101T000000Z", "20240103T000000Z"]
-    assert not (tmp_path / "versions/build_id=20240103T000000Z").exists() and builds.read(10, 6).count() == 1
-    assert builds.prune(keep=5) == []
-    stale = builds.table().limit(1).withColumns({"build_id": F.lit("x"), "status": F.lit("building")})
+    assert builds.prune(keep=5) == [f"2024010{day}T000000Z" for day in (1, 2, 3)]
+    gone = tmp_path / "versions/build_id=20240103T000000Z"
+    assert not list(gone.rglob("*.parquet")) and builds.read(10, 6).count() == 1
+    stamp = (gone / "_SUCCESS").stat().st_mtime_ns
+    assert builds.prune(keep=5) == [] and stamp == (gone / "_SUCCESS").stat().st_mtime_ns
+    with pytest.raises(ValueError, match="already"):
+        builds.publish("20240103T000000Z", data, 11, 6)
+    before = builds.table().where("build_id = '20240108T000000Z'").first()["created_at_utc"]
+    stale = builds.table().limit(1).withColumns({"build_id": F.lit("x"), "status": F.lit("building"), "is_current": F.lit(False)})
     builds._put(stale)
+    builds.recover(before=datetime(2000, 1, 1))
+    assert not builds.table().where("status = 'building'").isEmpty()  # begun since then
     builds.recover()
     assert builds.table().where("status = 'building'").isEmpty()
+    assert builds.table().where("build_id = '20240108T000000Z'").first()["created_at_utc"] == before
+
+
+def test_what_is_current(spark, tmp_path):
+    """The current build is preferred to newer ones, a failed one never takes over, and two current ones are an error."""
+    builds = lake.BuildCatalog(spark, str(tmp_path))
+    data = spark.createDataFrame([(1,)], "x int")
+    with pytest.raises(LookupError):
+        builds.read(11, 6)
+    builds.publish("a", data, 11, 6)
+    builds.publish("b", data.unionByName(data), 10, 6)
+    assert builds.read(10, 6, strict=True).count() == 2 and builds.read(11, 6).count() == 1
+    with pytest.raises(LookupError, match="not compatible"):
+        builds.read(11, 6, strict=True)
+
+    def stop(step):
+        raise RuntimeError(step)
+
+    with pytest.raises(RuntimeError):
+        builds.publish("c", data, 11, 6, fault=stop)
+    assert {r["build_id"]: (r["status"], r["is_current"]) for r in builds.table().collect()} == {"a": ("complete", False), "b": ("complete", True), "c": ("failed", False)}
+
+    def spoil(step):
+        if step == "written":
+            data.unionByName(data).unionByName(data).write.mode("append").parquet(f"{tmp_path}/versions/build_id=d")
+
+    with pytest.raises(commits.DigestMismatch):
+        builds.publish("d", data, 11, 6, fault=spoil)
+    assert builds.read(10, 6).count() == 2
+    builds._put(builds.table().where("build_id = 'a'").withColumn("is_current", F.lit(True)))
+    for strict in (True, False):
+        with pytest.raises(ValueError, match="several"):
+            builds.read(10, 6, strict=strict)
 
 
 def written(tmp_path, name, text):
@@ -155,8 +234,9 @@ def test_scalar_files(spark, tmp_path):
     assert values(parsers.read_sdmx_csv(spark, sdmx)) == [(date(2024, 1, 2), 0.5)]
     assert parsers.read_sdmx_csv(spark, written(tmp_path, "d.csv", "No data\n")).count() == 0
     assert parsers.read_sdmx_csv(spark, written(tmp_path, "g.csv", "")).count() == 0
-    with pytest.raises(ValueError, match="OBS_VALUE"):
-        parsers.read_sdmx_csv(spark, written(tmp_path, "h.csv", "KEY,PERIOD,VALUE\nk,2024-01-02,0.5\n"))
+    for name, note in (("h", "k"), ("i", "no data")):
+        with pytest.raises(parsers.PayloadError, match="OBS_VALUE"):
+            parsers.read_sdmx_csv(spark, written(tmp_path, f"{name}.csv", f"KEY,PERIOD,VALUE\n{note},2024-01-02,0.5\n"))
 
 
 def test_json_documents(spark, tmp_path):

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import features
-from tidemark.operators.recurrences import EMA_PERIODS, STATE_COLUMNS, with_states
+from tidemark.operators.recurrences import EMA_PERIODS, STATE_COLUMNS, scan, with_states, with_states_arrow
 
 
 def bars(spark, levels, series="x"):
@@ -115,3 +115,26 @@ def test_stochastic_and_donchian(spark):
     rising = [(i + 1.0, i + 2.0, i + 0.5, i + 1.5) for i in range(25)]
     up = collected(features.bar_features(bar_rows(spark, rising)), "donchian_breakout_up", "donchian_breakout_down")
     assert up == [(None, None)] * 20 + [(True, False)] * 5
+
+
+def test_column_form_is_the_object_form(spark):
+    """Bit by bit, over resets, gaps, values that aren't numbers, lengths around a chunk, and columns that only pass through."""
+    rnd = random.Random(8)
+    rows = []
+    for series, n in (("a", 1), ("b", 127), ("c", 128), ("d", 129), ("e", 600)):
+        for i in range(n):
+            level = rnd.choice([None, 0.0, -1.5, float("nan")]) if rnd.random() < 0.03 else math.exp(rnd.gauss(0, 0.5))
+            rows.append((series, date(2020, 1, 1) + timedelta(days=i), level, f"x{i}", i))
+    rnd.shuffle(rows)
+    df = spark.createDataFrame(rows, "series_id string, observation_date date, level double, note string, n int")
+    plain = with_states(df)
+    assert plain.columns == with_states_arrow(df).columns and "Arrow" not in plain._jdf.queryExecution().toString()
+    key = lambda r: (r["series_id"], r["observation_date"])
+    a, b = (sorted(map(repr, sorted(x.collect(), key=key))) for x in (plain, with_states_arrow(df)))
+    assert a == b and len(a) == len(rows)
+
+
+def test_scan_of_nothing(spark):
+    empty = F.array().cast("array<int>")
+    found = spark.range(1).select(scan(empty, F.lit(0), lambda s, x: s + x).alias("none"), scan(F.sequence(F.lit(1), F.lit(300)), F.lit(0), lambda s, x: s + x).alias("sums")).first()
+    assert found["none"] == [] and found["sums"] == [i * (i + 1) // 2 for i in range(1, 301)]

@@ -67,11 +67,21 @@ def nan_to_null(x: Column | str) -> Column:
     return F.when(~F.isnan(col(x)), col(x))
 
 
+def utc_midnight(day: Column | str) -> Column:
+    """The first moment of ``day`` in UTC, whatever the session's time zone is."""
+    return F.timestamp_micros(F.unix_date(col(day)).cast("long") * 86_400_000_000)
+
+
+def utc_date(seconds: Column | str) -> Column:
+    """The day in UTC of ``seconds`` since the epoch, whatever the session's time zone is."""
+    return F.date_from_unix_date(F.floor(col(seconds) / 86_400).cast("int"))
+
+
 def next_weekday(day: Column | str) -> Column:
     """The next Monday to Friday after ``day``, at midnight UTC: when a day's observation is first available."""
     iso = F.weekday(col(day)) + 1
     step = F.when(iso == 5, 3).when(iso == 6, 2).otherwise(1)
-    return F.date_add(col(day), step).cast("timestamp")
+    return utc_midnight(F.date_add(col(day), step))
 
 
 def canonical_number(x: Column | str) -> Column:

@@ -14,10 +14,12 @@ from tidemark.functions.columns import canonical_number
 def _cell(df: DataFrame, name: str) -> Column:
     """A cell as text that no other cell has: name, type, length and value; null is N, and so has neither length nor value."""
     kind, value = df.schema[name].dataType, F.col(name).cast("string")
-    if isinstance(kind, DoubleType | FloatType):
+    if isinstance(kind, TimestampType):
+        tag, value = "T", F.unix_micros(name).cast("string")  # the same in every session's time zone
+    elif isinstance(kind, DoubleType | FloatType):
         tag, value = "F", F.nullif(canonical_number(F.col(name).cast("double")), F.lit("N"))
     else:
-        tag = "I" if isinstance(kind, IntegralType) else "D" if isinstance(kind, DateType) else "T" if isinstance(kind, TimestampType) else "S"
+        tag = "I" if isinstance(kind, IntegralType) else "D" if isinstance(kind, DateType) else "S"
     framed = F.concat(F.lit(tag), F.length(value).cast("string"), F.lit(":"), value)
     return F.concat(F.lit(f"{len(name)}:{name}"), F.coalesce(framed, F.lit("N")))
 
@@ -27,8 +29,21 @@ def row_digest(df: DataFrame, key: list[str], numbers: list[str]) -> DataFrame:
     return df.select(*key, F.sha2(F.concat(*[_cell(df, c) for c in [*key, *numbers]]), 256).alias("row_sha256"))
 
 
-def delta_plan(source: DataFrame, target: DataFrame, key: list[str]) -> DataFrame:
-    """``key`` and change_type (insert, update, delete, unchanged) between two digest tables; an omission is a deletion."""
+class StateMissing(ValueError):
+    """A serving copy has digests, but no state that says of which build they are."""
+
+
+def _same_key(a: str, b: str, key: list[str]) -> Column:
+    return reduce(lambda x, y: x & y, [F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}")) for k in key])
+
+
+def delta_plan(source: DataFrame, target: DataFrame, key: list[str], state: DataFrame | None = None) -> DataFrame:
+    """``key`` and change_type (insert, update, delete, unchanged) between two digest tables; an omission is a deletion.
+
+    ``state``, if given, is the copy's table of states: where it is empty and ``target`` isn't, that raises StateMissing.
+    """
+    if state is not None and state.isEmpty() and not target.isEmpty():
+        raise StateMissing("digests without a state")
     old = target.select(*[F.col(k).alias(f"_{k}") for k in key], F.col("row_sha256").alias("_old"))
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in key])
     joined = source.select(*key, F.col("row_sha256").alias("_new")).join(old, same, "full_outer")
@@ -37,10 +52,11 @@ def delta_plan(source: DataFrame, target: DataFrame, key: list[str]) -> DataFram
 
 
 def apply_delta(target: DataFrame, source: DataFrame, plan: DataFrame, key: list[str]) -> DataFrame:
-    """``target`` after the plan."""
-    touched = plan.where("change_type <> 'unchanged'").select(*key)
-    added = plan.where("change_type in ('insert', 'update')").select(*key)
-    return target.join(touched, key, "left_anti").unionByName(source.join(added, key, "left_semi"))
+    """``target`` after the plan. Null keys are equal to each other, as in the plan."""
+    touched = plan.where("change_type <> 'unchanged'").select(*key).alias("plan")
+    added = plan.where("change_type in ('insert', 'update')").select(*key).alias("plan")
+    kept = target.alias("rows").join(touched, _same_key("rows", "plan", key), "left_anti")
+    return kept.unionByName(source.alias("rows").join(added, _same_key("rows", "plan", key), "left_semi"))
 
 
 def digest_mismatches(a: DataFrame, b: DataFrame, key: list[str]) -> DataFrame:

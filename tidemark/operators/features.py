@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import correlation, finite, log_ratio, ordered, positive, ratio, sample_zscore, trailing, when_complete
 from tidemark.operators.recurrences import RSI_PERIODS, with_states
 
+# Lags, windows and names of the published features.
 LAGS = (1, 2, 3, 4, 5, 8, 10, 20)
 DELTA_LAGS = (1, 5, 20)
 MEAN_WINDOWS = (5, 10, 20)
@@ -116,6 +117,7 @@ def with_trend(rows: DataFrame) -> DataFrame:
     return rows.withColumn("macd_hist_delta_3", F.col("macd_hist_relative") - F.lag("macd_hist_relative", 3).over(ordered()))
 
 
+# Names of the published features.
 TREND = ("ema5_distance", "ema9_distance", "ema21_distance", "ema5_ema21_spread", "ema9_slope_3", "ema5_ema9_cross", "macd_line_relative", "macd_hist_relative", "macd_hist_delta_3")
 RSI = ("rsi_3obs", "rsi_5obs", "rsi_7obs", "rsi_14obs", "rsi_ratio_5_15", "rsi5_slope_3", "rsi5_delta_1")
 BAR = (
@@ -129,10 +131,10 @@ def previous_close() -> Column:
     return F.last(F.when(finite("close"), F.col("close")), ignorenulls=True).over(ordered().rowsBetween(Window.unboundedPreceding, -1))
 
 
-def bar_features(bars: DataFrame) -> DataFrame:
-    """series_id, observation_date and BAR, for rows that have any cell of a bar."""
+def with_bars(rows: DataFrame) -> DataFrame:
+    """``rows`` (with open, high, low and close) with BAR; all rows count, also those without a level."""
     o, h, low, c = (F.col(x) for x in ("open", "high", "low", "close"))
-    rows = bars.select(*KEYS, "open", "high", "low", "close").withColumn("_pc", previous_close())
+    rows = rows.withColumn("_pc", previous_close())
     metrics = {
         "high_low_range": F.when(finite(h) & finite(low) & finite(c) & (c > 0), (h - low) / c),
         "intraday_return": F.when(finite(c) & finite(o) & (o > 0), (c - o) / o),
@@ -154,7 +156,12 @@ def bar_features(bars: DataFrame) -> DataFrame:
     before = ordered("_v").rowsBetween(-20, -1)
     full = F.col("_v") & (F.count(c).over(before) == 20)
     rows = rows.withColumn("donchian_breakout_up", F.when(full, h > F.max(h).over(before))).withColumn("donchian_breakout_down", F.when(full, low < F.min(low).over(before)))
-    return rows.select(*KEYS, *BAR)
+    return rows.drop("_pc", "_v")
+
+
+def bar_features(bars: DataFrame) -> DataFrame:
+    """series_id, observation_date and BAR of every row."""
+    return with_bars(bars.select(*KEYS, "open", "high", "low", "close")).select(*KEYS, *BAR)
 
 
 def all_features(bars: DataFrame) -> DataFrame:
@@ -162,8 +169,8 @@ def all_features(bars: DataFrame) -> DataFrame:
 
     The recurrences come first, so their rows stay dealt out by series for all windows after them.
     """
-    rows = with_trend(with_states(bars.withColumn("level", F.when(finite("level"), F.col("level")))))
+    cells = bars.select(*KEYS, F.when(finite("level"), F.col("level")).alias("level"), "open", "high", "low", "close")
+    rows = with_bars(with_trend(with_states(cells))).drop("open", "high", "low", "close")
     rows = with_valid_only(with_lags(with_rsi(rows)))
     singles = level_features() | rsi_features()
-    values = rows.select(*KEYS, *[x.alias(name) for name, x in singles.items()], *VALID_ONLY, *TREND)
-    return values.join(bar_features(bars), list(KEYS), "left")
+    return rows.select(*KEYS, *[x.alias(name) for name, x in singles.items()], *VALID_ONLY, *TREND, *BAR)

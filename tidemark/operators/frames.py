@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import finite
+from tidemark.functions.columns import finite, utc_date, utc_midnight
 
 
 class DuplicateKeys(ValueError):
@@ -50,9 +50,13 @@ def merge_upsert(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
 
 
 def stable_audit(old: DataFrame, new: DataFrame, key: list[str], audit: str) -> DataFrame:
-    """``new``, with the old ``audit`` value where all else is equal, so that fetching again changes nothing."""
+    """``new``, with the old ``audit`` value where all else is equal, so that fetching again changes nothing.
+
+    Null keys are equal to each other; several rows of one key, in either table, raise DuplicateKeys.
+    """
     payload = [c for c in new.columns if c not in key and c != audit]
-    joined = new.alias("new").join(old.withColumn("_there", F.lit(True)).alias("old"), [F.col(f"new.{k}") == F.col(f"old.{k}") for k in key], "left")
+    there = require_unique(old, key).withColumn("_there", F.lit(True)).alias("old")
+    joined = require_unique(new, key).alias("new").join(there, [F.col(f"new.{k}").eqNullSafe(F.col(f"old.{k}")) for k in key], "left")
     value = F.when(F.col("old._there") & _same(payload), F.col(f"old.{audit}")).otherwise(F.col(f"new.{audit}"))
     return joined.select(*[value.alias(c) if c == audit else F.col(f"new.{c}") for c in new.columns])
 
@@ -124,14 +128,32 @@ def feature_profile(long: DataFrame, total: DataFrame) -> DataFrame:
     return found.crossJoin(F.broadcast(total)).select("feature", (F.col("n") / F.col("total")).alias("coverage"), "mean", "least", "most")
 
 
+def feature_histogram(long: DataFrame, feature: str = "feature", value: str = "value") -> DataFrame:
+    """(``feature``, bin, n_bins, from_value, to_value, n): how the finite values of each feature are spread.
+
+    min(30, max(5, floor(sqrt(n)))) bins of equal width reach from a feature's least value to its highest, which is in the last
+    bin; where all are equal, they reach half a unit to either side. Two passes: the bounds, a row for each feature, are
+    broadcast, so values are only summed up by feature and bin. Empty bins have no row.
+    """
+    rows = long.where(finite(value)).select(feature, F.col(value).cast("double").alias("_v"))
+    bounds = rows.groupBy(feature).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count("*").alias("_n"))
+    same = F.col("_lo") == F.col("_hi")
+    bins = F.least(F.lit(30), F.greatest(F.lit(5), F.floor(F.sqrt("_n")).cast("int")))
+    bounds = bounds.select(feature, F.when(same, F.col("_lo") - 0.5).otherwise(F.col("_lo")).alias("_lo"), F.when(same, F.col("_hi") + 0.5).otherwise(F.col("_hi")).alias("_hi"), bins.alias("n_bins"))
+    at = F.least(F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * F.col("n_bins")).cast("int"), F.col("n_bins") - 1)
+    counted = rows.join(F.broadcast(bounds), feature).groupBy(feature, at.alias("bin"), "n_bins", "_lo", "_hi").agg(F.count("*").alias("n"))  # a row of bounds for each feature
+    edge = lambda i: F.col("_lo") + (F.col("_hi") - F.col("_lo")) * i / F.col("n_bins")
+    return counted.select(feature, "bin", "n_bins", edge(F.col("bin")).alias("from_value"), edge(F.col("bin") + 1).alias("to_value"), "n")
+
+
 def conformance_report(long: DataFrame, known: list[str]) -> DataFrame:
     """(check, violations) over a long table (series_id, observation_date, available_at_utc, feature, value)."""
     checks = {
         "null_key": F.col("series_id").isNull() | F.col("observation_date").isNull() | F.col("feature").isNull(),
         "not_finite": ~F.coalesce(finite("value"), F.lit(False)),
         "unknown_feature": ~F.col("feature").isin(known),
-        "available_too_early": F.col("available_at_utc") <= F.col("observation_date").cast("timestamp"),
-        "available_on_weekend": F.weekday(F.col("available_at_utc").cast("date")) >= 5,
+        "available_too_early": F.col("available_at_utc") <= utc_midnight("observation_date"),
+        "available_on_weekend": F.weekday(utc_date(F.unix_seconds("available_at_utc"))) >= 5,
     }
     counted = long.agg(*[F.count_if(bad).alias(name) for name, bad in checks.items()])
     doubled = long.groupBy("series_id", "observation_date", "feature").agg(F.count("*").alias("n")).where("n > 1").agg(F.count("*").alias("violations"))

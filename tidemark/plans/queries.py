@@ -4,16 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import nan_to_null, next_weekday
-from tidemark.operators import delta, features, frames
+from tidemark.operators import delta, features, frames, verify
 from tidemark.operators.recurrences import with_states
 from tidemark.plans import catalog
 from tidemark.plans import oracle as O
 from tidemark.plans.registry import IDS, OHLC, REGISTRY
-from tidemark.sources import lake
+from tidemark.sources import ingestion, lake, versions
 from tidemark.sources.fixtures import bars_by_nation, bars_by_priority, with_gaps
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -155,7 +155,7 @@ def gold_wide_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("gold_full_outer_chain", f"WITH {O.BARS2} SELECT observation_date, {_WIDE} FROM b GROUP BY observation_date")
 @register("gold_full_outer_chain_all", f"WITH {O.BARS2} SELECT observation_date, {_WIDE} FROM b GROUP BY observation_date")
 def gold_full_outer_chain_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bars = bars_by_nation(spark, sf_dir).repartition("observation_date").persist()  # read by each of the joins
+    bars = bars_by_nation(spark, sf_dir).repartition("observation_date").persist()  # read by each of the joins; it goes with clearCache
     return frames.gold_outer_chain(bars, list(IDS), list(OHLC))
 
 
@@ -257,7 +257,7 @@ def macro_feature_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return macro_features_long(spark, sf_dir).groupBy("feature_name").agg(F.count("*").alias("n_rows"))
 
 
-@register("macro_feature_counts_all")
+@register("macro_feature_counts_all", f"WITH {_CATALOG_CTE} SELECT feature_name, count(*) AS n_rows FROM c GROUP BY feature_name")
 def macro_feature_counts_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return macro_features_long(spark, sf_dir).groupBy("feature_name").agg(F.count("*").alias("n_rows"))
 
@@ -271,26 +271,39 @@ def _whole(spark: SparkSession, sf_dir: str) -> DataFrame:
 _SOME = "feature not like '%\\_roc\\_8obs' or day(observation_date) <> 13"
 
 
-@register("feature_count_diff_all")
+_KEPT_CTE = f"{_CATALOG_CTE}, n AS (SELECT observation_date, feature_name AS feature, value FROM c), k2 AS (SELECT * FROM n WHERE NOT ends_with(feature, '_roc_8obs') OR day(observation_date) <> 13)"
+
+
+@register("feature_count_diff_all", f"""WITH {_KEPT_CTE}, x AS (SELECT feature, count(*) AS expected FROM n GROUP BY feature), y AS (SELECT feature, count(*) AS actual FROM k2 GROUP BY feature)
+SELECT feature, expected, actual FROM x FULL OUTER JOIN y USING (feature) WHERE expected IS DISTINCT FROM actual""")
 def feature_count_diff_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     long = _whole(spark, sf_dir)
     return delta.feature_count_diff(long, long.where(_SOME))
 
 
-@register("population_verify_all")
+@register("population_verify_all", f"""WITH {_KEPT_CTE}, x AS (SELECT feature, count(*) AS c FROM n GROUP BY feature), y AS (SELECT feature, count(*) AS c FROM k2 GROUP BY feature)
+SELECT (SELECT count(*) FROM n) AS expected_rows, (SELECT count(DISTINCT feature) FROM n) AS expected_features, (SELECT count(*) FILTER (isnan(value) OR isinf(value)) FROM n) AS expected_not_finite,
+(SELECT count(*) FROM k2) AS actual_rows, (SELECT count(DISTINCT feature) FROM k2) AS actual_features, (SELECT count(*) FILTER (isnan(value) OR isinf(value)) FROM k2) AS actual_not_finite,
+(SELECT count(*) FROM x FULL OUTER JOIN y USING (feature) WHERE x.c IS DISTINCT FROM y.c) AS n_different""")
 def population_verify_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     long = _whole(spark, sf_dir)
     return delta.population_report(long, long.where(_SOME))
 
 
-@register("feature_profile_all")
+@register("feature_profile_all", f"""WITH {_CATALOG_CTE}, {O.BARS2}, t AS (SELECT count(DISTINCT observation_date) AS total FROM b)
+SELECT feature_name AS feature, round(count(value) / any_value(total), 6) AS coverage, round(avg(value), 6) AS mean, round(min(value), 6) AS least, round(max(value), 6) AS most FROM c, t GROUP BY feature_name""")
 def feature_profile_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Coverage is of the dates that have a bar of any series."""
     out = frames.feature_profile(_whole(spark, sf_dir), bars_by_nation(spark, sf_dir).agg(F.count_distinct("observation_date").alias("total")))
     return out.select("feature", *[F.round(c, 6).alias(c) for c in ("coverage", "mean", "least", "most")])
 
 
-@register("conformance_report_all")
+@register("conformance_report_all", f"""WITH {_CATALOG_CTE}, x AS (SELECT *, observation_date + CASE isodow(observation_date) WHEN 5 THEN 3 WHEN 6 THEN 2 ELSE 1 END AS available FROM c),
+known AS (SELECT feature_name FROM k UNION ALL SELECT unnest([{', '.join(f"'{n}'" for n in catalog.CROSS)}]))
+SELECT 'null_key' AS check, count(*) FILTER (observation_date IS NULL OR feature_name IS NULL) AS violations FROM x
+UNION ALL SELECT 'not_finite', count(*) FILTER (value IS NULL OR isnan(value) OR isinf(value)) FROM x UNION ALL SELECT 'unknown_feature', count(*) FROM x ANTI JOIN known USING (feature_name)
+UNION ALL SELECT 'available_too_early', count(*) FILTER (available <= observation_date) FROM x UNION ALL SELECT 'available_on_weekend', count(*) FILTER (isodow(available) > 5) FROM x
+UNION ALL SELECT 'duplicate_key', count(*) FROM (SELECT 1 FROM x GROUP BY observation_date, feature_name HAVING count(*) > 1)""")
 def conformance_report_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     long = _whole(spark, sf_dir).withColumn("series_id", F.lit(""))
     return frames.conformance_report(long, [s.name for s in catalog.CATALOG])
@@ -503,3 +516,180 @@ UNION ALL SELECT 'duplicate_key', count(*) FROM (SELECT 1 FROM x GROUP BY series
 def conformance_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     long = _long(spark, sf_dir).withColumn("available_at_utc", next_weekday("observation_date"))
     return frames.conformance_report(long, [n for n in catalog.LEVEL_NAMES if n != "roc_8obs"])
+
+
+# verification -------------------------------------------------------------------------------------------------------
+
+#: What a published copy has differently, so that there is something to find: values off by 1, values off within the
+#: tolerance, rows that are missing, and rows of days that don't exist.
+_PUBLISHED = """a AS (SELECT observation_date, feature_name, CASE WHEN day(observation_date) = 5 AND (ends_with(feature_name, '_log_return_5obs') OR ends_with(feature_name, '_ratio')) THEN value + 1
+    WHEN day(observation_date) = 6 THEN value * CAST(1.000000000001 AS DOUBLE) ELSE value END AS value FROM c WHERE NOT ends_with(feature_name, '_roc_8obs') OR day(observation_date) <> 13
+    UNION ALL SELECT observation_date + 20000, feature_name, value FROM c WHERE ends_with(feature_name, '_log_level') AND day(observation_date) = 17)"""
+
+
+def _published(long: DataFrame) -> DataFrame:
+    day, name, value = F.dayofmonth("observation_date"), F.col("feature_name"), F.col("value")
+    off = F.when((day == 5) & (name.endswith("_log_return_5obs") | name.endswith("_ratio")), value + 1).when(day == 6, value * 1.000000000001).otherwise(value)
+    kept = F.when(~name.endswith("_roc_8obs") | (day != 13), F.struct(F.col("observation_date").alias("d"), off.alias("v")))
+    more = F.when(name.endswith("_log_level") & (day == 17), F.struct(F.date_add("observation_date", 20000).alias("d"), value.alias("v")))
+    return long.select("feature_name", F.explode(F.array_compact(F.array(kept, more))).alias("r")).select(F.col("r.d").alias("observation_date"), "feature_name", F.col("r.v").alias("value"))
+
+
+@register("value_reconciliation", f"""WITH {_CATALOG_CTE}, {_PUBLISHED}, e AS (SELECT observation_date, feature_name, value FROM c),
+j AS (SELECT feature_name, e.value AS e, a.value AS a, e.feature_name IS NOT NULL AS in_e, a.feature_name IS NOT NULL AS in_a FROM e FULL OUTER JOIN a USING (observation_date, feature_name)),
+v AS (SELECT coalesce(series_id, 'cross_series') AS family, feature_name, count(*) FILTER (in_e) AS ne, count(*) FILTER (in_a) AS na, count(*) FILTER (NOT in_a) AS missing, count(*) FILTER (NOT in_e) AS surplus,
+    count(*) FILTER (in_e AND in_a AND NOT abs(e - a) <= 1e-12 + 1e-10 * abs(a)) AS different, max(abs(e - a)) AS error FROM j LEFT JOIN k USING (feature_name) GROUP BY ALL)
+SELECT family, CAST(sum(ne) AS BIGINT) AS expected_rows, CAST(sum(na) AS BIGINT) AS actual_rows, CAST(sum(missing) AS BIGINT) AS n_missing, CAST(sum(surplus) AS BIGINT) AS n_surplus, CAST(0 AS BIGINT) AS n_repeated,
+    CAST(sum(different) AS BIGINT) AS n_different, count(*) FILTER (ne <> na) AS n_features_off, round(max(error), 4) AS largest_error FROM v GROUP BY family""")
+def value_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole published catalog against a recomputation, by group."""
+    long = macro_features_long(spark, sf_dir).select("observation_date", "feature_name", "value")
+    groups = catalog.catalog_table(spark).select("feature_name", F.when(F.col("series_id") == "", "cross_series").otherwise(F.col("series_id")).alias("family"))
+    out = verify.reconcile_values(long, _published(long), groups, ["observation_date", "feature_name"])
+    return out.withColumn("largest_error", F.round("largest_error", 4))
+
+
+@register("feature_histogram", f"""WITH {_CATALOG_CTE}, s AS (SELECT feature_name, min(value) AS lo, max(value) AS hi, count(*) AS n FROM c GROUP BY feature_name),
+w AS (SELECT feature_name, CASE WHEN lo = hi THEN lo - 0.5 ELSE lo END AS lo, CASE WHEN lo = hi THEN hi + 0.5 ELSE hi END AS hi, CAST(least(30, greatest(5, floor(sqrt(n)))) AS INTEGER) AS n_bins FROM s),
+p AS (SELECT feature_name, least(CAST(floor((value - lo) / (hi - lo) * n_bins) AS INTEGER), n_bins - 1) AS bin, n_bins, lo, hi FROM c JOIN w USING (feature_name))
+SELECT feature_name, bin, n_bins, round(lo + (hi - lo) * bin / n_bins, 6) AS from_value, round(lo + (hi - lo) * (bin + 1) / n_bins, 6) AS to_value, count(*) AS n FROM p GROUP BY ALL""")
+def feature_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = frames.feature_histogram(macro_features_long(spark, sf_dir), "feature_name")
+    return out.withColumns({c: F.round(c, 6) for c in ("from_value", "to_value")})
+
+
+_DUE = "CAST(observation_date + CASE isodow(observation_date) WHEN 5 THEN 3 WHEN 6 THEN 2 ELSE 1 END AS TIMESTAMP)"
+
+
+@register("availability_report", f"""WITH {O.BARS2}, x AS (SELECT observation_date, {_DUE} AS due, CASE day(observation_date) WHEN 9 THEN {_DUE} + INTERVAL 1 DAY WHEN 10 THEN {_DUE} - INTERVAL 3 DAY WHEN 11 THEN NULL
+    WHEN 12 THEN {_DUE} + INTERVAL 6 HOUR ELSE {_DUE} END AS given FROM b),
+y AS (SELECT observation_date, given, CASE WHEN given IS NULL THEN 'absent' WHEN given < due THEN 'early' WHEN given >= due + INTERVAL 1 DAY THEN 'late' WHEN given > due THEN 'time' END AS difference FROM x)
+SELECT observation_date, difference, count(*) AS n_rows, min(given) AS least, max(given) AS most FROM y WHERE difference IS NOT NULL GROUP BY ALL""")
+def availability_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    due, day = next_weekday("observation_date"), F.dayofmonth("observation_date")
+    at = F.when(day == 9, due + F.expr("interval 1 day")).when(day == 10, due - F.expr("interval 3 days")).when(day == 12, due + F.expr("interval 6 hours")).when(day != 11, due)
+    return verify.availability_differences(bars_by_nation(spark, sf_dir).select("observation_date", at.alias("available_at_utc")))
+
+
+#: The columns that the registered queries read, in the order in which they are declared.
+_DECLARED = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderpriority string, o_orderdate timestamp, o_totalprice double, o_channel string",
+    "customer": "c_custkey bigint, c_nationkey int, c_mktsegment string",
+    "lineitem": "l_orderkey bigint, l_linenumber bigint, l_linestatus string",
+}
+_SPARK_TYPES = "CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'SMALLINT' THEN 'smallint' WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double' WHEN 'DATE' THEN 'date' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'TIMESTAMP WITH TIME ZONE' THEN 'timestamp' ELSE lower(column_type) END"
+
+
+@register("schema_report", f"""WITH d("table", position, "column", type) AS (VALUES {', '.join(f"('{t}', {i + 1}, '{c.split(' ')[0]}', '{c.split(' ')[1]}')" for t, columns in _DECLARED.items() for i, c in enumerate(columns.split(', ')))}),
+a AS ({' UNION ALL '.join(f"""SELECT '{t}' AS "table", CAST(row_number() OVER () AS INTEGER) AS position, column_name AS "column", {_SPARK_TYPES} AS type FROM (DESCRIBE SELECT * FROM {t})""" for t in _DECLARED)}),
+j AS (SELECT "table", "column", d.position AS dp, a.position AS ap, d.type AS dt, a.type AS ty FROM d FULL OUTER JOIN a USING ("table", "column"))
+SELECT "table", "column", 'missing' AS difference, dt AS declared, NULL AS actual FROM j WHERE ty IS NULL UNION ALL SELECT "table", "column", 'surplus', NULL, ty FROM j WHERE dt IS NULL
+UNION ALL SELECT "table", "column", 'type', dt, ty FROM j WHERE dt <> ty UNION ALL SELECT "table", "column", 'position', CAST(dp AS VARCHAR), CAST(ap AS VARCHAR) FROM j WHERE dp <> ap""")
+def schema_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    declared = [verify.schema_table(spark, spark.createDataFrame([], columns).schema, t) for t, columns in _DECLARED.items()]
+    actual = [verify.schema_table(spark, spark.read.parquet(f"{sf_dir}/{t}.parquet").schema, t) for t in _DECLARED]
+    union = lambda x: x[0].unionByName(x[1]).unionByName(x[2])
+    return verify.schema_differences(union(declared), union(actual))
+
+
+@register("agreement_report", f"""WITH {_SIDES}, s AS (SELECT {O.KEYS}, {_DIGEST} AS x FROM new WHERE series_id = '1-URGENT'), t AS (SELECT {O.KEYS}, {_DIGEST} AS y FROM old WHERE series_id = '1-URGENT'),
+i AS (SELECT observation_date, CASE WHEN day(observation_date) = 2 THEN 'x' ELSE x END AS z FROM s)
+SELECT 'digest_index' AS check, count(*) AS violations FROM s FULL OUTER JOIN i USING (observation_date) WHERE x IS DISTINCT FROM z
+UNION ALL SELECT 'consumer', count(*) FROM s FULL OUTER JOIN t USING (observation_date) WHERE x IS DISTINCT FROM y
+UNION ALL SELECT 'summary', CAST((SELECT count(*) FROM t) IS DISTINCT FROM (SELECT count(*) FROM s) AS BIGINT) + CAST((SELECT min(observation_date) FROM t) IS DISTINCT FROM (SELECT min(observation_date) FROM s) AS BIGINT)
+    + CAST((SELECT max(observation_date) FROM t) IS DISTINCT FROM (SELECT max(observation_date) FROM s) AS BIGINT)
+UNION ALL SELECT 'state', 0""")
+def agreement_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A copy of one dataset (the urgent orders' series) that is some days behind, with an index that is wrong on some days."""
+    old, new = (_digests(x.where("series_id = '1-URGENT'")).drop("series_id") for x in _sides(spark, sf_dir))
+    index = new.withColumn("row_sha256", F.when(F.dayofmonth("observation_date") == 2, "x").otherwise(F.col("row_sha256")))
+    summary = new.agg(F.count("*").alias("n_rows"), F.min("observation_date").alias("first_key"), F.max("observation_date").alias("last_key"))
+    return verify.agreement_report(new, index, old, summary, "observation_date", summary.first().asDict())
+
+
+# versions, states and builds ----------------------------------------------------------------------------------------
+
+_STATES = """st AS (SELECT o_orderkey, CAST(nullif(o_custkey % 12, 0) AS INTEGER) AS ps, CAST(1 + o_custkey % 6 AS INTEGER) AS pf, CAST(1 + o_orderkey % 11 AS INTEGER) AS s, CAST(1 + (o_orderkey // 11 + o_custkey) % 6 AS INTEGER) AS f FROM orders)"""
+_ALLOWED = ", ".join(f"({', '.join(map(str, t))}, {str(t in versions.COALESCING).lower()})" for t in (*versions.KEEPING, *versions.STEPS, *versions.COALESCING))
+
+
+@register("version_gate", f"""WITH RECURSIVE t(a, b, c, d, free) AS (VALUES {_ALLOWED}),
+r AS (SELECT a, b, c, d, 1 AS n, true AS once, free FROM t UNION ALL SELECT r.a, r.b, t.c, t.d, n + 1, r.free AND t.free, r.free AND t.free FROM r JOIN t ON r.c = t.a AND r.d = t.b),
+m AS (SELECT a, b, c, d, min(n) AS n, bool_or(once) AS once FROM r GROUP BY a, b, c, d), {_STATES}
+SELECT o_orderkey, CASE WHEN ps IS NULL THEN 'new' WHEN ps = s AND pf = f THEN 'same' WHEN once THEN 'upgrade' WHEN n > 0 THEN 'stepwise' ELSE 'refused' END AS verdict,
+    CASE WHEN ps IS NULL OR (ps = s AND pf = f) THEN 0 ELSE n END AS n_steps FROM st LEFT JOIN m ON ps = a AND pf = b AND s = c AND f = d""")
+def version_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A copy of each order's versions, and whether those of the build may follow them."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    states = orders.selectExpr(
+        "o_orderkey", "cast(nullif(o_custkey % 12, 0) as int) as prior_schema", "cast(1 + o_custkey % 6 as int) as prior_feature",
+        "cast(1 + o_orderkey % 11 as int) as schema_version", "cast(1 + (o_orderkey div 11 + o_custkey) % 6 as int) as feature_version",
+    )
+    return versions.version_gate(states, versions.transitions(spark)).select("o_orderkey", "verdict", "n_steps")
+
+
+_RUNS = """runs AS (SELECT o_orderpriority AS series_id, o_orderkey AS run_id, CAST(o_orderdate AS TIMESTAMP) AS committed_at_utc, CASE o_custkey % 5 WHEN 0 THEN 'reconcile' WHEN 1 THEN 'bootstrap' ELSE 'update' END AS mode,
+    CAST(o_orderdate AS DATE) - 1 AS last_observed_date, CASE WHEN o_custkey % 2 = 0 THEN CAST(o_orderdate AS DATE) - 7 END AS filter_start, CASE WHEN o_custkey % 3 <> 0 THEN CAST(o_orderdate AS DATE) - 30 END AS request_start,
+    CAST(o_orderdate AS DATE) AS request_end, o_custkey % 100 AS fetched_rows, o_custkey % 50 AS accepted_rows, o_custkey % 7 AS changed_rows FROM orders),
+durable AS (SELECT * FROM runs SEMI JOIN (SELECT l_orderkey AS run_id FROM lineitem WHERE l_linestatus = 'F') USING (run_id))"""
+_STATE_SQL = "committed_at_utc AS last_success_utc, last_observed_date, coalesce(filter_start, request_start) AS last_requested_start, request_end AS last_requested_end, mode, fetched_rows, accepted_rows, changed_rows"
+_SO_FAR = "OVER (PARTITION BY series_id ORDER BY committed_at_utc, run_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+_HISTORY_SQL = f"SELECT series_id, run_id, {_STATE_SQL}, last_value(CASE WHEN mode = 'reconcile' THEN committed_at_utc END IGNORE NULLS) {_SO_FAR} AS last_reconcile_utc FROM durable"
+
+
+def _runs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """A run for each order; the manifest of one is durable if a line of it is shipped."""
+    day = F.to_date("o_orderdate")
+    mode = F.when(F.col("o_custkey") % 5 == 0, "reconcile").when(F.col("o_custkey") % 5 == 1, "bootstrap").otherwise("update")
+    runs = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+        F.col("o_orderpriority").alias("series_id"), F.col("o_orderkey").alias("run_id"), F.col("o_orderdate").cast("timestamp").alias("committed_at_utc"), mode.alias("mode"), F.date_sub(day, 1).alias("last_observed_date"),
+        F.when(F.col("o_custkey") % 2 == 0, F.date_sub(day, 7)).alias("filter_start"), F.when(F.col("o_custkey") % 3 != 0, F.date_sub(day, 30)).alias("request_start"), day.alias("request_end"),
+        (F.col("o_custkey") % 100).alias("fetched_rows"), (F.col("o_custkey") % 50).alias("accepted_rows"), (F.col("o_custkey") % 7).alias("changed_rows"),
+    )
+    return runs, spark.read.parquet(f"{sf_dir}/lineitem.parquet").where("l_linestatus = 'F'").select(F.col("l_orderkey").alias("run_id"))
+
+
+@register("ingestion_state_history", f"WITH {_RUNS} {_HISTORY_SQL}")
+def ingestion_state_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ingestion.state_history(*_runs(spark, sf_dir))
+
+
+@register("ingestion_state", f"WITH {_RUNS}, h AS ({_HISTORY_SQL}) SELECT * EXCLUDE (run_id) FROM h QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY last_success_utc DESC, run_id DESC) = 1")
+def ingestion_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The states after the runs up to 1994, advanced by all others."""
+    runs, manifests = _runs(spark, sf_dir)
+    prior = spark.createDataFrame([], ingestion.STATES)
+    for part in ("committed_at_utc < '1995-01-01'", "committed_at_utc >= '1995-01-01'"):
+        prior = ingestion.advance_states(prior, runs.where(part), manifests)
+    return prior
+
+
+_DATASETS = _BUILDS.replace("k AS (SELECT ", "k AS (SELECT o_custkey AS dataset_id, coalesce(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) = 1 + o_custkey % 3 OR (o_custkey % 10 = 0 AND o_orderkey % 2 = 0), false) AS is_current, ")
+
+
+@register("build_resolution", f"""WITH {_DATASETS}, x AS (SELECT *, status = 'complete' AS done, schema_version >= 10 AND feature_version = 6 AS ok FROM k),
+g AS (SELECT dataset_id, count(*) FILTER (is_current) AS n, max(build_id) FILTER (is_current) AS cur, bool_or(is_current AND done) AS done, bool_or(is_current AND done AND ok) AS good,
+    arg_max(build_id, (completed_at_utc, build_id)) FILTER (done AND ok) AS newest FROM x GROUP BY dataset_id)
+SELECT dataset_id, CASE WHEN n = 1 AND good THEN cur END AS strict_build, CASE WHEN n = 0 THEN 'no current' WHEN n > 1 THEN 'several current' WHEN NOT done THEN 'not complete' WHEN NOT good THEN 'not compatible' ELSE 'current' END AS strict_reason,
+    CASE WHEN n > 1 THEN NULL WHEN n = 1 AND good THEN cur ELSE newest END AS latest_build, CASE WHEN n > 1 THEN 'several current' WHEN n = 1 AND good THEN 'current' WHEN newest IS NOT NULL THEN 'newest' ELSE 'none' END AS latest_reason FROM g""")
+def build_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dataset for each customer, with a build for each order."""
+    place = F.row_number().over(Window.partitionBy("dataset_id").orderBy("build_id"))
+    rows = _builds(spark, sf_dir).join(spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderkey").alias("build_id"), F.col("o_custkey").alias("dataset_id")), "build_id")
+    current = (place == 1 + F.col("dataset_id") % 3) | ((F.col("dataset_id") % 10 == 0) & (F.col("build_id") % 2 == 0))
+    return lake.resolutions(rows.withColumn("is_current", current), 10, 6, ["dataset_id"])
+
+
+@register("silver_upsert", f"""{_SILVER_SQL.replace(' SELECT observation_date, series_id, close AS value', ', v AS (SELECT observation_date, series_id, close AS value', 1).replace(' AS fetched_at_utc FROM b', ' AS fetched_at_utc, native_shape FROM b')}),
+o AS (SELECT * EXCLUDE (native_shape) FROM v WHERE day(observation_date) % 5 <> 0), n AS (SELECT * EXCLUDE (native_shape)
+    REPLACE (CASE WHEN day(observation_date) % 7 = 0 AND native_shape <> 'ohlc' THEN value + 1 ELSE value END AS value, TIMESTAMP '2026-02-02 00:00:00' AS fetched_at_utc) FROM v WHERE day(observation_date) % 11 <> 0)
+SELECT n.* REPLACE (CASE WHEN o.series_id IS NOT NULL AND o.value IS NOT DISTINCT FROM n.value THEN o.fetched_at_utc ELSE n.fetched_at_utc END AS fetched_at_utc) FROM n LEFT JOIN o USING (series_id, observation_date)
+UNION ALL BY NAME SELECT * FROM o ANTI JOIN n USING (series_id, observation_date)""")
+def silver_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The canonical table after observations were fetched again, some of them revised; bars take their value from the close."""
+    day = F.dayofmonth("observation_date")
+    silver = _silver(spark, sf_dir).where(day % 5 != 0)
+    units = spark.createDataFrame([(s.series_id, s.native_shape, s.unit, s.provider) for s in REGISTRY], "series_id string, native_shape string, unit string, provider string")
+    value = F.when(day % 7 == 0, F.col("level") + 1).otherwise(F.col("level"))
+    bronze = bars_by_nation(spark, sf_dir).where(day % 11 != 0).withColumn("value", value).withColumn("source_id", F.concat(F.lit("src:"), "series_id")).withColumn("fetched_at_utc", F.lit("2026-02-02").cast("timestamp"))
+    return ingestion.silver_upsert(silver, bronze, units)[0]

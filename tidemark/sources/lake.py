@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from datetime import datetime, timezone
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-CATALOG_SCHEMA = "build_id string, path string, status string, schema_version int, feature_version int, row_count long, created_at_utc timestamp, completed_at_utc timestamp"
+from tidemark.sources.commits import confined, write_checked
+from tidemark.sources.versions import FEATURE, SCHEMA
+
+CATALOG_SCHEMA = (
+    "build_id string, path string, status string, is_current boolean, schema_version int, feature_version int, row_count long, digest decimal(38,0), "
+    "created_at_utc timestamp, completed_at_utc timestamp"
+)
 
 
 def observation_bounds(df: DataFrame, day: str) -> DataFrame:
@@ -42,23 +51,51 @@ def fetch_windows(registry: DataFrame, history: DataFrame, today: str, overlap_d
     return rows.select("series_id", mode.alias("mode"), request.alias("request_from"), first.alias("first_date"), F.lit(today).cast("date").alias("last_date"))
 
 
+def _compatible(least_schema: int, feature_version: int) -> Column:
+    return (F.col("schema_version") >= least_schema) & (F.col("feature_version") == feature_version)
+
+
+def _current(catalog: DataFrame) -> Column:
+    return F.coalesce("is_current", F.lit(False)) if "is_current" in catalog.columns else F.lit(False)
+
+
 def superseded_builds(catalog: DataFrame, keep: int) -> DataFrame:
-    """Complete builds beyond the newest ``keep`` of their pair of versions."""
+    """Complete builds beyond the newest ``keep`` of their pair of versions; never the current one."""
     newest = Window.partitionBy("schema_version", "feature_version").orderBy(F.desc("completed_at_utc"), F.desc("build_id"))
-    return catalog.where("status = 'complete'").withColumn("place", F.row_number().over(newest)).where(F.col("place") > keep).drop("place")
+    placed = catalog.where("status = 'complete'").withColumn("place", F.row_number().over(newest))
+    return placed.where((F.col("place") > keep) & ~_current(catalog)).drop("place")
 
 
 def latest_compatible(catalog: DataFrame, least_schema: int, feature_version: int) -> DataFrame:
-    """The newest complete build that a reader of these versions can use, or none."""
-    fits = catalog.where((F.col("status") == "complete") & (F.col("schema_version") >= least_schema) & (F.col("feature_version") == feature_version))
-    return fits.orderBy(F.desc("completed_at_utc"), F.desc("build_id")).limit(1)
+    """The complete build that a reader of these versions can use: the current one if it is such, else the newest, or none."""
+    fits = catalog.where((F.col("status") == "complete") & _compatible(least_schema, feature_version))
+    return fits.orderBy(_current(catalog).desc(), F.desc("completed_at_utc"), F.desc("build_id")).limit(1)
+
+
+def resolutions(catalog: DataFrame, least_schema: int, feature_version: int, by: list[str]) -> DataFrame:
+    """``by``, strict_build, strict_reason, latest_build, latest_reason: which build of each dataset a reader gets.
+
+    Strictly, only the current build: where there is none, several, or one that isn't complete or doesn't fit, there is no
+    build and the reason says so. By the other policy the current build if it will do, else the newest complete one that
+    fits; several current ones are an error by either. One aggregation: a dataset may have any number of builds.
+    """
+    fits = (F.col("status") == "complete") & _compatible(least_schema, feature_version)
+    row = F.struct("build_id", (F.col("status") == "complete").alias("complete"), _compatible(least_schema, feature_version).alias("fits"))
+    found = catalog.groupBy(*by).agg(
+        F.count_if(_current(catalog)).alias("n"), F.max(F.when(_current(catalog), row)).alias("current"), F.max_by("build_id", F.when(fits, F.struct("completed_at_utc", "build_id"))).alias("newest"), F.count_if(fits).alias("n_fit")
+    )
+    strict = F.when(F.col("n") == 0, "no current").when(F.col("n") > 1, "several current").when(~F.col("current.complete"), "not complete").when(~F.col("current.fits"), "not compatible").otherwise("current")
+    latest = F.when(F.col("n") > 1, "several current").when(strict == "current", "current").when(F.col("n_fit") > 0, "newest").otherwise("none")
+    of = F.when(latest == "current", F.col("current.build_id")).when(latest == "newest", F.col("newest"))
+    return found.select(*by, F.when(strict == "current", F.col("current.build_id")).alias("strict_build"), strict.alias("strict_reason"), of.alias("latest_build"), latest.alias("latest_reason"))
 
 
 class BuildCatalog:
     """The builds under ``root``, each a directory of its own that is written once.
 
-    A build is registered as building, becomes complete or failed, and only a complete one is ever read. What happens to
-    builds is appended to a Parquet table of events; a build's last event is its state.
+    A build is registered as building, becomes complete and current, or failed, and only a complete one is ever read. What
+    happens to builds is appended to a Parquet table of events, each append as one file; a build's last event is its state.
+    One process publishes at a time.
     """
 
     def __init__(self, spark: SparkSession, root: str) -> None:
@@ -75,51 +112,76 @@ class BuildCatalog:
 
     def table(self) -> DataFrame:
         """One row for each build."""
-        last = Window.partitionBy("build_id").orderBy(F.desc("recorded_at_utc"))
+        # should two events be of one moment, what ends a build comes after its beginning
+        last = Window.partitionBy("build_id").orderBy(F.desc("recorded_at_utc"), F.col("status") == "building", F.col("is_current"))
         return self.events().withColumn("place", F.row_number().over(last)).where("place = 1").drop("place", "recorded_at_utc")
 
     def _put(self, rows: DataFrame) -> None:
-        rows.withColumn("recorded_at_utc", F.current_timestamp()).write.mode("append").parquet(f"{self.root}/catalog")
-
-    def publish(self, build_id: str, data: DataFrame, schema_version: int, feature_version: int) -> str:
-        """Writes ``data`` as an immutable build and promotes it; on failure the build is marked failed and the error raised."""
-        path = f"{self.root}/versions/build_id={build_id}"
-
-        def row(status: str, n: int | None) -> DataFrame:
-            one = self.spark.range(1)
-            done = F.current_timestamp() if status == "complete" else F.lit(None).cast("timestamp")
-            return one.select(F.lit(build_id).alias("build_id"), F.lit(path).alias("path"), F.lit(status).alias("status"), F.lit(schema_version).alias("schema_version"), F.lit(feature_version).alias("feature_version"), F.lit(n).cast("long").alias("row_count"), F.current_timestamp().alias("created_at_utc"), done.alias("completed_at_utc"))
-
-        self._put(row("building", None))
+        at = F.lit(datetime.now(timezone.utc))
+        rows.withColumn("recorded_at_utc", at).coalesce(1).write.mode("append").parquet(f"{self.root}/catalog")  # a row or two for each build
+
+    def publish(self, build_id: str, data: DataFrame, schema_version: int = SCHEMA, feature_version: int = FEATURE, fault: Callable[[str], None] = lambda step: None) -> str:
+        """Writes ``data`` as an immutable build, reads it back, and makes it the one current build; returns its path.
+
+        An id that was used before is refused and changes nothing, whatever became of that build. What is read back must have
+        the rows and the digest of what was written (DigestMismatch). On any failure before the promotion the build is marked
+        failed, the current one stays, and the error is raised.
+        """
+        path = confined(self.root, f"versions/build_id={build_id}")
+        builds = self.table()
+        if not builds.where(F.col("build_id") == build_id).isEmpty():
+            raise ValueError(f"there is a build {build_id} already")
+        begun = datetime.now(timezone.utc)
+
+        def row(status: str, n: int | None = None, digest: int | None = None) -> DataFrame:
+            done = datetime.now(timezone.utc) if status != "building" else None
+            return self.spark.createDataFrame([(build_id, f"versions/build_id={build_id}", status, status == "complete", schema_version, feature_version, n, None, begun, done)], CATALOG_SCHEMA).withColumn("digest", F.lit(digest).cast("decimal(38,0)"))
+
+        self._put(row("building"))
         try:
-            data.write.mode("errorifexists").parquet(path)
-            self._put(row("complete", self.spark.read.parquet(path).count()))
-        except Exception:
-            self._put(row("failed", None))
+            fault("building")
+            files = write_checked(data, path, fault=fault)
+            total = files.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n"), F.coalesce(F.sum("digest"), F.lit(0)).alias("digest")).first()
+            files.unpersist()
+            before = builds.where("is_current").withColumn("is_current", F.lit(False))
+            self._put(row("complete", int(total["n"]), int(total["digest"])).unionByName(before))
+        except BaseException:
+            self._put(row("failed"))
             raise
         return path
 
-    def recover(self) -> None:
-        """Marks builds left building by a lost run as failed."""
-        stale = self.table().where("status = 'building'").withColumn("status", F.lit("failed"))
+    def recover(self, before: datetime | None = None) -> None:
+        """Marks builds left building by a lost run as failed: those begun before ``before``, or all, if nothing is publishing."""
+        stale = self.table().where("status = 'building'")
+        if before is not None:
+            stale = stale.where(F.col("created_at_utc") < F.lit(before))
         if not stale.isEmpty():
-            self._put(stale)
+            self._put(stale.withColumns({"status": F.lit("failed"), "is_current": F.lit(False), "completed_at_utc": F.lit(datetime.now(timezone.utc))}))
 
     def prune(self, keep: int = 5) -> list[str]:
-        """Gives up complete builds beyond the newest ``keep`` of their versions: first in the catalog, then on disk."""
+        """Gives up complete builds beyond the newest ``keep`` of their versions: first in the catalog, then on disk, where an empty table takes their place."""
         old = superseded_builds(self.table(), keep).withColumn("status", F.lit("pruned"))
         rows = old.collect()  # a row for each build
         if rows:
             self._put(old)
-        fs_path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-        for row in self.table().where("status = 'pruned'").collect():
-            path = fs_path(row["path"])
-            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        given_up = self.table().where("status = 'pruned'")
+        for row in given_up.collect():
+            path = confined(self.root, row["path"])
+            self.spark.createDataFrame([], "pruned boolean").write.mode("overwrite").parquet(path)
+        if not given_up.isEmpty():
+            self._put(given_up.withColumn("status", F.lit("swept")))
         return sorted(r["build_id"] for r in rows)
 
-    def read(self, least_schema: int, feature_version: int) -> DataFrame:
-        """The newest compatible build; never what merely lies on disk."""
-        row = latest_compatible(self.table(), least_schema, feature_version).first()
-        if row is None:
-            raise LookupError("no compatible complete build")
-        return self.spark.read.parquet(row["path"])
+    def read(self, least_schema: int = SCHEMA, feature_version: int = FEATURE, strict: bool = False) -> DataFrame:
+        """The current build, or, unless ``strict``, the newest one that fits where it doesn't; never what merely lies on disk.
+
+        LookupError if there is none to be had, ValueError if several builds are current.
+        """
+        builds = self.table()
+        found = resolutions(builds, least_schema, feature_version, []).first()
+        build, reason = (found["strict_build"], found["strict_reason"]) if strict else (found["latest_build"], found["latest_reason"])
+        if reason == "several current":
+            raise ValueError("several builds are current")
+        if build is None:
+            raise LookupError(f"no compatible complete build ({reason})")
+        return self.spark.read.parquet(confined(self.root, builds.where(F.col("build_id") == build).first()["path"]))

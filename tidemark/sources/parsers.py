@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import finite
+from tidemark.functions.columns import finite, utc_date
 
 BAR = "observation_date date, open double, high double, low double, close double"
 SCALAR = "observation_date date, value double"
@@ -32,18 +32,30 @@ def dates(text: Column, *formats: str) -> Column:
     return F.coalesce(*[F.try_to_timestamp(F.trim(text), F.lit(f)).cast("date") for f in formats])
 
 
+def _checked(df: DataFrame, kept: Column | None = None, some: bool = False, **bad: Column) -> DataFrame:
+    """``df`` after one pass that looks for rows in which one of ``bad`` holds (name: the message, with _ for spaces) and for dates twice.
+
+    Dates are looked at among the rows of ``kept`` alone, which are what is returned; with ``some``, there must be one.
+    """
+    kept = F.lit(True) if kept is None else kept
+    by_day = df.groupBy("observation_date").agg(*[F.count_if(x).alias(name) for name, x in bad.items()], F.count_if(kept).alias("_n"))
+    found = by_day.agg(*[F.sum(name).alias(name) for name in bad], F.sum("_n").alias("_rows"), F.max("_n").alias("_most")).first()
+    for name in bad:
+        if found[name]:
+            raise PayloadError(name.replace("_", " "))
+    if (found["_most"] or 0) > 1:
+        raise PayloadError("a date occurs twice")
+    if some and not found["_rows"]:
+        raise PayloadError("no valid bar")
+    return df.where(kept)
+
+
 def _check(df: DataFrame, bad: Column, what: str) -> DataFrame:
     if not df.where(bad).limit(1).isEmpty():
         raise PayloadError(what)
     return df
 
 
-def _unique(df: DataFrame) -> DataFrame:
-    if not df.groupBy("observation_date").count().where("count > 1").limit(1).isEmpty():
-        raise PayloadError("a date occurs twice")
-    return df
-
-
 # What pages say that stand in for a payload without data.
 NO_DATA = ("no record", "no result", "no data", "security concerns", "access has been blocked")
 
@@ -62,10 +74,7 @@ def read_bars_csv(spark: SparkSession, path: str) -> DataFrame:
     bad = F.col("observation_date").isNull()
     for n in names:
         bad = bad | F.col(n).isNull()
-    rows = _unique(_check(rows, bad, "a cell is empty or malformed").where(valid_bar()))
-    if rows.isEmpty():
-        raise PayloadError("no valid bar")
-    return rows
+    return _checked(rows, valid_bar(), some=True, a_cell_is_empty_or_malformed=bad)
 
 
 def read_scalar_delimited(spark: SparkSession, path: str, symbol: str, value_names: tuple[str, ...] = ("indexvalue", "value", "close")) -> DataFrame:
@@ -82,21 +91,25 @@ def read_scalar_delimited(spark: SparkSession, path: str, symbol: str, value_nam
     rows = raw.where(F.upper(F.trim("symbol")) == symbol.upper()) if "symbol" in raw.columns else raw
     rows = rows.where(F.coalesce(F.trim(F.col(value)), F.lit("")) != "")
     rows = rows.select(dates(F.col(day), "dd.MM.yyyy", "yyyy-MM-dd").alias("observation_date"), F.expr(f"try_cast(trim(`{value}`) as double)").alias("value"))
-    return _unique(_check(rows, F.col("observation_date").isNull() | F.col("value").isNull(), "a date or value is malformed"))
+    return _checked(rows, a_date_or_value_is_malformed=F.col("observation_date").isNull() | F.col("value").isNull())
 
 
 def read_sdmx_csv(spark: SparkSession, path: str) -> DataFrame:
-    """TIME_PERIOD and OBS_VALUE; empty and "." values are absent. An empty payload, or a page that says so, is one without data; any other one without these columns raises."""
+    """TIME_PERIOD and OBS_VALUE; empty and "." values are absent.
+
+    An empty payload, or a page that isn't a table and says so, is one without data. A table without these columns raises
+    PayloadError, whatever is written in it, and so does any other page.
+    """
     raw = _delimited(spark, path, ",")
     if not {"time_period", "obs_value"} <= set(raw.columns):
         page = spark.read.text(path, wholetext=True)
         said = reduce(lambda a, b: a | b, [F.lower("value").contains(x) for x in NO_DATA], F.trim("value") == "")
-        if page.where(~said).isEmpty():
+        if len(raw.columns) < 2 and page.where(~said).isEmpty():
             return spark.createDataFrame([], SCALAR)
-        raise ValueError(f"{path} has no columns TIME_PERIOD and OBS_VALUE")
+        raise PayloadError(f"{path} has no columns TIME_PERIOD and OBS_VALUE")
     rows = raw.where(~F.coalesce(F.trim("obs_value"), F.lit("")).isin("", "."))
     rows = rows.select(dates(F.col("time_period"), "yyyy-MM-dd").alias("observation_date"), F.expr("try_cast(trim(obs_value) as double)").alias("value"))
-    return _unique(_check(rows, F.col("observation_date").isNull() | ~F.coalesce(finite("value"), F.lit(False)), "a date or value is malformed"))
+    return _checked(rows, a_date_or_value_is_malformed=F.col("observation_date").isNull() | ~F.coalesce(finite("value"), F.lit(False)))
 
 
 def read_observations_json(spark: SparkSession, path: str) -> DataFrame:
@@ -104,7 +117,7 @@ def read_observations_json(spark: SparkSession, path: str) -> DataFrame:
     raw = spark.read.text(path, wholetext=True).select(F.from_json("value", "observations array<struct<date:string,value:string>>").alias("x"))
     rows = _check(raw, F.col("x.observations").isNull(), "no observations").select(F.explode("x.observations").alias("o")).where("o.value <> '.'")
     rows = rows.select(dates(F.col("o.date"), "yyyy-MM-dd").alias("observation_date"), F.expr("try_cast(trim(o.value) as double)").alias("value"))
-    return _unique(_check(rows, F.col("observation_date").isNull() | ~F.coalesce(finite("value"), F.lit(False)), "a date or value is malformed"))
+    return _checked(rows, a_date_or_value_is_malformed=F.col("observation_date").isNull() | ~F.coalesce(finite("value"), F.lit(False)))
 
 
 def read_chart_json(spark: SparkSession, path: str) -> DataFrame:
@@ -118,9 +131,9 @@ def read_chart_json(spark: SparkSession, path: str) -> DataFrame:
         uneven = uneven | F.coalesce(F.size(c) != F.size("t"), F.lit(True))
     raw = _check(raw.where("t is not null"), uneven, "vectors differ in length")
     rows = raw.select(F.explode(F.arrays_zip("t", "open", "high", "low", "close")).alias("b"))
-    rows = rows.select(F.to_date(F.timestamp_seconds("b.t")).alias("observation_date"), "b.open", "b.high", "b.low", "b.close")
+    rows = rows.select(utc_date("b.t").alias("observation_date"), "b.open", "b.high", "b.low", "b.close")
     rows = rows.where(F.coalesce("open", "high", "low", "close").isNotNull())
-    return _unique(_check(rows, ~F.coalesce(valid_bar(), F.lit(False)), "a bar is partial or invalid"))
+    return _checked(rows, a_bar_is_partial_or_invalid=~F.coalesce(valid_bar(), F.lit(False)))
 
 
 def within(df: DataFrame, first: str, last: str) -> DataFrame:
