@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timezone
+from decimal import Decimal
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -133,9 +134,9 @@ class BuildCatalog:
             raise ValueError(f"there is a build {build_id} already")
         begun = datetime.now(timezone.utc)
 
-        def row(status: str, n: int | None = None, digest: int | None = None) -> DataFrame:
+        def row(status: str, n: int | None = None, digest: Decimal | None = None) -> DataFrame:
             done = datetime.now(timezone.utc) if status != "building" else None
-            return self.spark.createDataFrame([(build_id, f"versions/build_id={build_id}", status, status == "complete", schema_version, feature_version, n, None, begun, done)], CATALOG_SCHEMA).withColumn("digest", F.lit(digest).cast("decimal(38,0)"))
+            return self.spark.createDataFrame([(build_id, f"versions/build_id={build_id}", status, status == "complete", schema_version, feature_version, n, digest, begun, done)], CATALOG_SCHEMA)
 
         self._put(row("building"))
         try:
@@ -144,7 +145,7 @@ class BuildCatalog:
             total = files.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n"), F.coalesce(F.sum("digest"), F.lit(0)).alias("digest")).first()
             files.unpersist()
             before = builds.where("is_current").withColumn("is_current", F.lit(False))
-            self._put(row("complete", int(total["n"]), int(total["digest"])).unionByName(before))
+            self._put(row("complete", int(total["n"]), total["digest"]).unionByName(before))
         except BaseException:
             self._put(row("failed"))
             raise
