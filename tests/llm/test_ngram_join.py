@@ -41,20 +41,20 @@ def got(df):
 
 
 def brute_of_rows(rows):
-    """Sorted (id, n, component) of each id and text, where an id links its texts and a text may have none."""
+    """Sorted (id, n, component) of each id and text, where an id links its texts that have words, and a text may have no id."""
     docs = sorted(set(rows), key=str)
     found = brute(dict(enumerate(t for _, t in docs)))
     label = {k: k for k in range(len(docs))}
     for _ in docs:
         for a, (i, _t) in enumerate(docs):
             for b, (j, _u) in enumerate(docs):
-                if (i is not None and i == j) or (found[a][1] == found[b][1] and found[a][0]):
+                if found[a][0] and found[b][0] and ((i is not None and i == j) or found[a][1] == found[b][1]):
                     label[a] = label[b] = min(label[a], label[b])
     least = {}
     for k, (i, _t) in enumerate(docs):
-        if i is not None:
+        if i is not None and found[k][0]:
             least[label[k]] = min(i, least.get(label[k], i))
-    return sorted(((i, found[k][0], least.get(label[k])) for k, (i, _t) in enumerate(docs)), key=str)
+    return sorted(((i, found[k][0], least.get(label[k]) if found[k][0] else i) for k, (i, _t) in enumerate(docs)), key=str)
 
 
 def test_edge_cases(make_docs):
@@ -71,6 +71,10 @@ def test_ids_with_several_texts(make_docs):
     found = [(r["doc_id"], r["n_shingles"], r["component_id"]) for r in near_duplicates(make_docs(rows)).collect()]
     assert sorted(found, key=str) == brute_of_rows(rows)
     assert (2, 56, 1) in found and (7, 56, 1) in found
+    found = got(near_duplicates(make_docs([(1, a), (7, a)])))
+    assert found == {1: (56, 1), 7: (56, 1)}
+    found = [(r["doc_id"], r["n_shingles"], r["component_id"]) for r in near_duplicates(make_docs([(1, a), (7, a), (7, "")])).collect()]
+    assert sorted(found) == [(1, 56, 1), (7, 0, 7), (7, 56, 1)]  # a row without words is linked with nothing
 
 
 def test_common_shingles_change_nothing(make_docs, monkeypatch):

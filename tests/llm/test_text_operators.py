@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from llm_cases import TOKENIZERS, edge_rows, prose
+from pyspark.sql import functions as F
 
 from tidemark.llm import cotraining, line_dedup, mixing, packing, quality_rules, secrets, sharding, token_counts
 
@@ -490,6 +491,25 @@ def test_ledger_is_incremental(make_docs):
     assert secrets.scan_versions(make_docs([]), ["doc_id"])[0].count() == 0
 
 
+def test_a_blob_twice_in_the_ledger(make_docs):
+    docs = make_docs([(1, "secret=abcdefgh"), (2, "secret=abcdefgh"), (3, "token=12345678")])
+    _, ledger = secrets.scan_versions(docs, ["doc_id"])
+    findings, _ = secrets.scan_versions(docs, ["doc_id"], ledger=ledger.unionByName(ledger))
+    assert sorted((r["doc_id"], len(r["spans"])) for r in findings.collect()) == [(1, 1), (2, 1), (3, 1)]
+
+
+def test_a_labelled_id_on_very_many_rows(spark, make_docs):
+    """What is collected is bounded by ids, not rows: one id stands on 50,000 of them."""
+    texts = [(i, prose(i, 80 + i)) for i in range(40)]
+    docs = make_docs(texts).unionByName(make_docs(texts[:1]).withColumn("more", F.explode(F.sequence(F.lit(1), F.lit(50_000)))).drop("more"))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    once = quality_rules.fit_rules(make_docs(texts), labels)
+    assert quality_rules.fit_rules(docs, labels) == once
+    a = {(r["doc_id"], r["score"]) for r in cotraining.classify(docs, labels).collect()}
+    b = {(r["doc_id"], r["score"]) for r in cotraining.classify(make_docs(texts), labels).collect()}
+    assert a == b
+
+
 def test_second_query_goes_on_from_the_ledger(spark, make_docs, tmp_path, monkeypatch):
     from tidemark.llm.queries import op10_secret_scan
 

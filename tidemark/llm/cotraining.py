@@ -229,8 +229,9 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     featured = rows.mapInArrow(_featured, f"id {kind}, t array<float>, m array<float>")
     featured = saved(join_checked(featured, marks, "id", "left"))  # each text is read once
     chosen = marks.orderBy(F.xxhash64("id"), "id").limit(LABELLED_ROWS)
-    found = featured.drop("good").join(F.broadcast(chosen), "id").toPandas()  # LABELLED_ROWS rows at most, but for repeated ids
-    found = found.assign(key=[np.asarray(x).tobytes() for x in found["t"]]).sort_values(["id", "key"]).drop_duplicates("id")
+    # of an id on several rows one is taken, the same in each run: LABELLED_ROWS rows at most reach the driver
+    found = featured.drop("good").join(F.broadcast(chosen), "id").groupBy("id", "good").agg(F.min_by(F.struct("t", "m"), F.xxhash64("t", "m")).alias("r"))
+    found = found.select("id", "good", "r.t", "r.m").toPandas().sort_values("id")
     y = (found["good"] > 0).to_numpy(float)
     if not 0 < y.sum() < len(y):
         return rows.select(F.col("id").alias(id_col), F.lit(0.5).alias("score"), F.lit(True).alias("kept"))

@@ -154,7 +154,7 @@ def _by_text(rows: DataFrame, width: int, percent: int) -> DataFrame:
     least = docs.where("class is not null").groupBy("class").agg(F.min("id").alias("least"))
     linked = components(docs.join(least, "class").where("id is not null").select(F.col("id").alias("a"), F.col("least").alias("b")))
     out = docs.join(least, "class", "left").withColumn("own", F.coalesce("id", "least")).join(linked, F.col("own") == F.col("node"), "left")
-    return out.select("id", F.col("n").alias("n_shingles"), F.coalesce("component", "own").alias("component_id"))
+    return out.select("id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("id")).otherwise(F.coalesce("component", "own")).alias("component_id"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 75) -> DataFrame:
@@ -163,7 +163,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ``component_id`` is the smallest id reachable over links, the id itself included. Ids are integers.
 
     - Null or empty text, or text without words: an empty set, n_shingles 0, linked with nothing.
-    - Repeated rows of an id and text have one row. Each text of an id takes part, and they are linked by their id.
+    - Repeated rows of an id and text have one row. Each text of an id takes part, and those with words are linked by their id.
     - A text without an id is linked, too; its component is null if no id is reachable.
     - Equal texts are one node and so always linked; very long texts are taken whole.
     - An empty table gives an empty result; other columns of ``docs``, whatever their names, are not looked at.

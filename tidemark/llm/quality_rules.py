@@ -182,15 +182,16 @@ def learn_rules(x: np.ndarray, bad: np.ndarray, most: int = 16, precision: float
 
 
 def fit_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
-    """Rules learned from at most ``sample_rows`` labelled rows of ``docs``; a label of 0 is bad, null labels are left out.
+    """Rules learned from at most ``sample_rows`` labelled ids of ``docs``, one row of each; a label of 0 is bad, null labels are left out.
 
     Without labelled rows of both kinds there are no rules. An id with several labels is good if one of them is.
     """
     marks = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).alias("good"))
     marks = marks.orderBy(F.xxhash64("id"), "id").limit(sample_rows)  # so few that they may be broadcast
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(marks), "id")
-    found = with_counts(rows).select("id", "good", *[feature(f).alias(f) for f in FEATURES]).toPandas()
-    found = found.sort_values(["id", *FEATURES]).reset_index(drop=True)
+    # of an id on several rows one is taken, so that no more than the sample reaches the driver
+    found = with_counts(rows).groupBy("id", "good").agg(F.min(F.struct(*[feature(f).alias(f) for f in FEATURES])).alias("f"))
+    found = found.select("id", "good", "f.*").toPandas().sort_values("id").reset_index(drop=True)
     bad = (found["good"] == 0).to_numpy()
     return learn_rules(found[list(FEATURES)].to_numpy(float), bad) if bad.any() and not bad.all() else []
 

@@ -105,7 +105,7 @@ def scan_versions(versions: DataFrame, key_cols: list[str], text_col: str = "tex
     what the last call returned, and write it wherever it is kept.
 
     - A null text is scanned as an empty one. Null keys and repeated rows are rows like others.
-    - A blob on many rows is scanned once; very long texts are scanned whole; an empty table gives empty results.
+    - A blob that the ledger has twice counts once. A blob on many rows is scanned once; very long texts are scanned whole; an empty table gives empty results.
     - Other columns of ``versions`` are not looked at. Key columns may have any names; they are renamed meanwhile.
     """
     findings, scanned = _scanned(versions, key_cols, text_col, ledger)
@@ -136,6 +136,8 @@ def _scanned(versions: DataFrame, key_cols: list[str], text_col: str, ledger: Da
     scanned = saved(scanned.dropDuplicates(["blob"]).select("blob", F.lit(RULE_VERSION).alias("rule_version"), "spans"))
     every = scanned if ledger is None else ledger.select("blob", "rule_version", "spans").unionByName(scanned)
     hits = every.where((F.col("rule_version") == RULE_VERSION) & (F.size("spans") > 0)).select("blob", "spans")
+    if ledger is not None:
+        hits = hits.dropDuplicates(["blob"])  # two scans at once, or a retried one, may both have appended a blob
     findings = paths.join(hits, "blob", "left").withColumn("spans", F.coalesce("spans", F.expr(f"cast(array() as {_SPANS})")))
     return findings.select(*[F.col(n).alias(c) for n, c in zip(names, key_cols, strict=True)], "blob", "spans"), scanned
 
