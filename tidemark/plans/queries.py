@@ -291,11 +291,11 @@ def population_verify_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("feature_profile_all", f"""WITH {_CATALOG_CTE}, {O.BARS2}, t AS (SELECT count(DISTINCT observation_date) AS total FROM b)
-SELECT feature_name AS feature, round(count(value) / any_value(total), 6) AS coverage, round(avg(value), 6) AS mean, round(min(value), 6) AS least, round(max(value), 6) AS most FROM c, t GROUP BY feature_name""")
+SELECT feature_name AS feature, round(count(value) / any_value(total), 6) AS coverage, round(avg(value), 7) AS mean, round(min(value), 6) AS least, round(max(value), 6) AS most FROM c, t GROUP BY feature_name""")
 def feature_profile_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Coverage is of the dates that have a bar of any series."""
     out = frames.feature_profile(_whole(spark, sf_dir), bars_by_nation(spark, sf_dir).agg(F.count_distinct("observation_date").alias("total")))
-    return out.select("feature", *[F.round(c, 6).alias(c) for c in ("coverage", "mean", "least", "most")])
+    return out.select("feature", *[F.round(c, 7 if c == "mean" else 6).alias(c) for c in ("coverage", "mean", "least", "most")])
 
 
 @register("conformance_report_all", f"""WITH {_CATALOG_CTE}, x AS (SELECT *, observation_date + CASE isodow(observation_date) WHEN 5 THEN 3 WHEN 6 THEN 2 ELSE 1 END AS available FROM c),
@@ -552,10 +552,10 @@ def value_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("feature_histogram", f"""WITH {_CATALOG_CTE}, s AS (SELECT feature_name, min(value) AS lo, max(value) AS hi, count(*) AS n FROM c GROUP BY feature_name),
 w AS (SELECT feature_name, CASE WHEN lo = hi THEN lo - 0.5 ELSE lo END AS lo, CASE WHEN lo = hi THEN hi + 0.5 ELSE hi END AS hi, CAST(least(30, greatest(5, floor(sqrt(n)))) AS INTEGER) AS n_bins FROM s),
 p AS (SELECT feature_name, least(CAST(floor((value - lo) / (hi - lo) * n_bins) AS INTEGER), n_bins - 1) AS bin, n_bins, lo, hi FROM c JOIN w USING (feature_name))
-SELECT feature_name, bin, n_bins, round(lo + (hi - lo) * bin / n_bins, 6) AS from_value, round(lo + (hi - lo) * (bin + 1) / n_bins, 6) AS to_value, count(*) AS n FROM p GROUP BY ALL""")
+SELECT feature_name, bin, n_bins, round(lo + (hi - lo) * bin / n_bins, 9) AS from_value, round(lo + (hi - lo) * (bin + 1) / n_bins, 9) AS to_value, count(*) AS n FROM p GROUP BY ALL""")
 def feature_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = frames.feature_histogram(macro_features_long(spark, sf_dir), "feature_name")
-    return out.withColumns({c: F.round(c, 6) for c in ("from_value", "to_value")})
+    return out.withColumns({c: F.round(c, 9) for c in ("from_value", "to_value")})
 
 
 _DUE = "CAST(observation_date + CASE isodow(observation_date) WHEN 5 THEN 3 WHEN 6 THEN 2 ELSE 1 END AS TIMESTAMP)"
