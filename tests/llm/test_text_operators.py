@@ -103,11 +103,38 @@ def test_propagation_lowers_the_cut(spark):
         load[s] += c
     cut = lambda counts: sum(n * (n - 1) // 2 for n in sizes.values()) - sum(c * (c - 1) // 2 for c in counts.values())
     assert kept == sizes and max(load.values()) <= quotas[0]
-    assert before == cut(count) and after == cut(out) and after < 0.85 * before  # the huge group can't but be cut
+    assert before == cut(count) and after == cut(out) and after < 0.8 * before  # the huge group can't but be cut
     assert cut({k: c for k, c in out.items() if k[0] != "huge"}) - cut({k: c for k, c in count.items() if k[0] != "huge"}) < 0
     assert sum(1 for g, _ in out if g[0] == "p") <= 230  # of 200 pairs, few are apart
 
 
+@pytest.mark.parametrize(("groups", "size"), [(1600, 2), (160, 20), (32, 100)])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_propagation_of_fully_linked_tables(spark, groups, size, seed):
+    """All documents are linked and all shards are full; from random shards nearly all groups come together."""
+    rnd = np.random.default_rng(seed)
+    labels = np.arange(groups * size) % 16
+    rnd.shuffle(labels)
+    count = collections.Counter(zip((np.arange(groups * size) // size).tolist(), labels.tolist(), strict=True))
+    near = spark.createDataFrame([(bytearray(f"{g}".encode()), s, c) for (g, s), c in count.items()], "print binary, shard int, c long")
+    placed, before, after = sharding.propagated(near, [groups * size // 16] * 16, 64)
+    load, kept, parts = collections.Counter(), collections.Counter(), collections.Counter()
+    for r in placed.collect():
+        load[r["shard"]] += r["c"]
+        kept[bytes(r["print"])] += r["c"]
+        parts[bytes(r["print"])] += 1
+    assert set(load.values()) == {groups * size // 16} and set(kept.values()) == {size} and len(kept) == groups
+    assert after < 0.05 * groups * size * (size - 1) / 2 < before and sum(n == 1 for n in parts.values()) >= 0.9 * groups
+
+
+def test_admitted_moves():
+    """As many as can be: whole cycles through full shards, and what there is room for."""
+    assert sharding.admitted({(0, 1): 5, (1, 2): 3, (2, 0): 9}, [0, 0, 0]) == {(0, 1): 3, (1, 2): 3, (2, 0): 3}
+    assert sharding.admitted({(0, 1): 5, (2, 1): 4}, [0, 7, 0]) in ({(0, 1): 5, (2, 1): 2}, {(0, 1): 3, (2, 1): 4})
+    assert sharding.admitted({(0, 1): 5}, [0, 0]) == {} == sharding.admitted({}, [1, 1])
+    assert sharding.giants({b"a": {0: 10, 1: 30, 2: 5}}, [20, 20, 20]) == {b"a": {1: 20, 0: 20, 2: 5}}
+
+
 def test_groups_stay_whole_where_they_fit(make_docs):
     """A group above a quarter of a shard isn't split."""
     rows = [(i, "a group of six" if i < 6 else f"own {i}") for i in range(160)]
@@ -393,6 +420,72 @@ def test_classifier_on_held_out(spark, make_docs):
     assert cotraining.classify(make_docs([]), labels).count() == 0
 
 
+def plain_scores(t, m, y):
+    """Scores by co-training written out: two lists of features and labels (NaN: none), examples with weights, no sums of slopes."""
+    sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -40, 40)))
+    one = lambda x: np.column_stack([x, np.ones(len(x))])
+
+    def step_of(x, target, weight, w, penalty):
+        keep = np.append(np.full(x.shape[1], penalty), 1e-6)
+        gradient, curve = keep * w, np.diag(keep)
+        for row, goal, share in zip(one(x), target, weight, strict=True):
+            p = sigmoid(row @ w)
+            gradient = gradient + share * (p - goal) * row
+            curve = curve + share * max(p * (1 - p), 1e-6) * np.outer(row, row)
+        return np.linalg.solve(curve, gradient)
+
+    def fit(x, target, penalty):
+        w = np.zeros(x.shape[1] + 1)
+        for _ in range(12):
+            w = w - step_of(x, target, np.ones(len(x)), w, penalty)
+        return w
+
+    given = np.flatnonzero(~np.isnan(y))
+    held, used = given[2::3], np.setdiff1d(given, given[2::3])
+    pool, views = np.flatnonzero(np.isnan(y)), (t, m)
+    weights = [fit(x[used], y[used], 1.0) for x in views]
+    taught = [{}, {}]  # by view: document to label
+    for _ in range(3):
+        sure = []
+        for x, w in zip(views, weights, strict=True):
+            a, b = fit((one(x[held]) @ w)[:, None], y[held], 0.1)
+            sure.append(sigmoid(a * (one(x[pool]) @ w) + b))
+        for i in (0, 1):
+            for d, p in zip(pool.tolist(), sure[i], strict=True):
+                if max(p, 1 - p) >= 0.97:
+                    taught[1 - i].setdefault(d, float(p > 0.5))
+        examples = []
+        for x, mine in zip(views, taught, strict=True):
+            rows = [*used.tolist(), *mine]
+            goal = np.array([*y[used], *mine.values()])
+            share = {c: min(1.0, 0.2 * (y[used] == c).sum() / max(1, sum(v == c for v in mine.values()))) for c in (0.0, 1.0)}
+            examples.append((x[rows], goal, np.array([1.0] * len(used) + [share[v] for v in mine.values()])))
+        for _ in range(12):
+            steps = [step_of(*e, w, 1.0) for e, w in zip(examples, weights, strict=True)]
+            steps = [s * min(1.0, 5 / max(np.abs(s).max(), 1e-12)) for s in steps]
+            weights = [w - s for w, s in zip(weights, steps, strict=True)]
+            if max(np.abs(s).max() for s in steps) < 1e-4:
+                break
+    z = np.column_stack([np.clip(one(x) @ w, -12, 12) for x, w in zip(views, weights, strict=True)])
+    return sigmoid(one(z) @ fit(z[held], y[held], 0.1)), taught
+
+
+def test_classifier_against_plain_co_training(spark, make_docs):
+    rnd = np.random.default_rng(4)
+    rows = [(i, " ".join([junk(i), prose(i, 40)][:: (-1) ** i][: 1 + i % 2]) if rnd.random() < 0.9 else prose(i, 70), f"src{i % 3 if rnd.random() < 0.7 else 5}") for i in range(150)]
+    labels = [(i, int(rnd.random() < (0.15 if i % 4 == 0 else 0.85))) for i in range(60)]
+    docs = make_docs(rows)
+    found = {r["doc_id"]: r["score"] for r in cotraining.classify(docs, spark.createDataFrame(labels, "doc_id long, quality int")).collect()}
+    table = docs.selectExpr("doc_id as id", "text", "source as m_0", "lang as m_1", "n_chars as m_2").toArrow().combine_chunks().to_batches()[0]
+    features = next(cotraining._featured(iter([table])))
+    t, m = (np.array(features.column(c).to_pylist(), float) for c in ("t", "m"))
+    y = np.full(len(rows), np.nan)
+    for i, good in labels:
+        y[i] = good
+    expected, taught = plain_scores(t, m, y)
+    assert all(taught) and np.allclose([found[i] for i in range(150)], expected, atol=2e-6)
+
+
 def test_views_teach_each_other():
     """With few labels, labels flow both ways, and what is held out is told better than without the unlabelled rows."""
     better = []

@@ -1,5 +1,6 @@
 import collections
 import math
+import re
 
 import numpy as np
 import pytest
@@ -94,9 +95,36 @@ def shares(sizes):
         capped |= over
 
 
+def passes_base(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    where = collections.defaultdict(list)
+    for i in range(len(words) - 2):
+        where[tuple(words[i : i + 3])].append(i)
+    repeated = {i + k for at in where.values() if len(at) > 1 for i in at for k in range(3)}
+    return len(words) >= 50 and 100 * len(repeated) <= 50 * len(words)
+
+
+def test_pipeline_of_empty_tables(spark, make_docs, tmp_path):
+    """Without documents there is nothing at any stage; without labels the base rules alone reject."""
+    import corpus_pipeline
+
+    nothing = make_docs([])
+    nothing.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, nothing, str(tmp_path)).count() == 0, name
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+    rows = edge_rows()
+    kept = corpus_pipeline.quality(spark, make_docs(rows), str(tmp_path))
+    assert collections.Counter((r["doc_id"], r["text"]) for r in kept.collect()) == collections.Counter(r[:2] for r in rows if passes_base(r[1]))
+
+
 def test_pipeline_stages(spark, make_docs, tmp_path):
     import corpus_pipeline
     from test_ngram_join import brute as groups
+    from test_text_operators import clean_runs
+
+    from tidemark.llm import quality_rules
 
     base = edge_rows() + [(5000 + i, " ".join(f"{w}***" for w in prose(i, 80).split())) for i in range(40)]
     docs = make_docs(base)
@@ -112,8 +140,20 @@ def test_pipeline_stages(spark, make_docs, tmp_path):
         a, b = before.toPandas(), after.toPandas()
         if name == "quality_rules":
             assert not (b["doc_id"] >= 5000).any() and set(range(10, 40)) <= set(b["doc_id"].dropna())
+            # each row is kept if the base and every learned rule, looked at one by one, let it pass
+            rules = quality_rules.fit_rules(before, spark.read.parquet(f"{tmp_path}/labels.parquet"))
+            hit = quality_rules.with_counts(before).select("doc_id", "text", *[quality_rules.feature(f).alias(f) for f in quality_rules.FEATURES]).toPandas()
+            rejected = np.zeros(len(hit), bool)
+            for rule in rules:
+                rejected |= rule.covers(hit[list(quality_rules.FEATURES)].to_numpy(float))
+            expected = collections.Counter((str(i), t) for i, t, r in zip(hit["doc_id"], hit["text"], rejected, strict=True) if not r and passes_base(t))
+            assert rules and collections.Counter(zip(b["doc_id"].map(str), b["text"], strict=True)) == expected
         if name == "line_dedup":
             assert (b["n_chars"] == b["text"].str.len()).all() and b["text"].str.contains("A line that all").sum() == 1
+            pairs = [(r["doc_id"], r["text"]) for r in before.collect()]
+            cleaned = clean_runs(pairs)
+            expected = collections.Counter((i, cleaned[i, t][0]) for i, t in pairs if not cleaned[i, t][1] or cleaned[i, t][0])
+            assert collections.Counter((r["doc_id"], r["text"]) for r in spark.read.parquet(f"{tmp_path}/{name}").collect()) == expected
         if name == "ngram_jaccard_join":
             # rows without an id are not compared and stay; of rows of one id and text one stays
             named = a.dropna(subset=["doc_id"]).drop_duplicates(["doc_id", "text"])
