@@ -5,7 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import delta, frames, verify
-from tidemark.sources import versions
+from tidemark.plans import catalog
+from tidemark.plans.registry import IDS
+from tidemark.sources import lake, versions
 
 LONG = "observation_date date, feature_name string, value double"
 D = [date(2024, 1, d) for d in range(1, 8)]
@@ -102,3 +104,27 @@ def test_version_gate(spark):
     assert versions.require_compatible(states.where("schema_version = 7 and prior_feature = 5")).count() == 1
     with pytest.raises(versions.IncompatibleVersions, match="9/5 to 10/5: refused"):
         versions.require_compatible(states.where("prior_schema = 9"))
+
+
+def test_verdicts(spark):
+    counts = spark.createDataFrame([("a", 0), ("b", 2)], "check string, violations long")
+    found = {r["check"]: (r["violations"], r["verdict"]) for r in verify.verdicts({"rows": counts, "none": spark.range(0), "some": spark.range(3)}).collect()}
+    assert found == {"rows.a": (0, "PASS"), "rows.b": (2, "FAIL"), "none": (0, "PASS"), "some": (3, "FAIL"), "all": (5, "FAIL")}
+
+
+def test_parity(spark):
+    names = [s.name for s in catalog.CATALOG]
+    long = spark.createDataFrame([(n,) for n in names[1:] + ["new", "new", None]], "feature_name string")
+    assert {tuple(r) for r in catalog.catalog_parity(long).collect()} == {(names[0], "absent", 0), ("new", "unknown", 2), (None, "unknown", 1)}
+
+
+def test_refresh_publishes_only_what_conforms(spark, tmp_path):
+    builds = lake.BuildCatalog(spark, str(tmp_path))
+    rows = [(IDS[s], date(1995, 1, 1 + d), *[10.0 * (s + 1) + d + x for x in (0, 2, -2, 1, 1)]) for s in range(3) for d in range(25)]
+    bars = spark.createDataFrame(rows, "series_id string, observation_date date, open double, high double, low double, close double, level double")
+    catalog.refresh_features(builds, "a", bars)
+    first = builds.read(strict=True)
+    assert first.count() == catalog.macro_features_long(bars).count() > 100
+    with pytest.raises(catalog.NotConformant, match=r"rows\.duplicate_key"):
+        catalog.refresh_features(builds, "b", bars.unionByName(bars))
+    assert {r["build_id"]: (r["status"], r["is_current"]) for r in builds.table().collect()} == {"a": ("complete", True), "b": ("failed", False)}

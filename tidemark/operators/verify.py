@@ -112,3 +112,19 @@ def agreement_report(source: DataFrame, index: DataFrame, consumer: DataFrame, s
         "state": states.select((F.col("bad") + F.abs(F.col("n") - 1)).alias("violations")),  # there must be one
     }
     return reduce(lambda a, b: a.unionByName(b), [df.select(F.lit(name).alias("check"), "violations") for name, df in parts.items()])
+
+
+def verdicts(checks: dict[str, DataFrame]) -> DataFrame:
+    """(check, violations, verdict): one row for each of ``checks``, a table of violations or of (check, violations), and one for all.
+
+    The last row, ``all``, is PASS only if every other one is.
+    """
+    counted = []
+    for name, df in checks.items():
+        if df.columns == ["check", "violations"]:
+            counted.append(df.select(F.concat(F.lit(f"{name}."), "check").alias("check"), F.col("violations").cast("long").alias("violations")))
+        else:
+            counted.append(df.agg(F.count("*").alias("violations")).select(F.lit(name).alias("check"), "violations"))
+    rows = reduce(lambda a, b: a.unionByName(b), counted)
+    every = rows.agg(F.sum("violations").alias("violations")).select(F.lit("all").alias("check"), "violations")
+    return rows.unionByName(every).withColumn("verdict", F.when(F.col("violations") == 0, "PASS").otherwise("FAIL"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,8 +11,10 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import finite, log_ratio, next_weekday, ratio
 from tidemark.operators import features as X
-from tidemark.operators.frames import gold_wide, long_form
+from tidemark.operators.frames import conformance_report, gold_wide, long_form
+from tidemark.operators.verify import availability_differences, verdicts
 from tidemark.plans.registry import IDS, OHLC
+from tidemark.sources.lake import BuildCatalog
 
 # Series groups and their lags.
 VOLATILITY_SERIES = ("vix", "vix9d", "vix3m", "vix6m", "vix1y", "vstoxx", "move")
@@ -87,3 +90,37 @@ def macro_features_long(bars: DataFrame) -> DataFrame:
 def catalog_drift(long: DataFrame) -> DataFrame:
     """Feature names of ``long`` that aren't catalogued, with their rows."""
     return long.join(F.broadcast(catalog_table(long.sparkSession)), "feature_name", "left_anti").groupBy("feature_name").agg(F.count("*").alias("n_rows"))
+
+
+def catalog_parity(long: DataFrame) -> DataFrame:
+    """(feature_name, difference, n_rows): features of ``long`` that aren't catalogued (unknown), and catalogued ones without rows (absent)."""
+    found = long.groupBy("feature_name").agg(F.count("*").alias("n_rows"))
+    named = F.broadcast(catalog_table(long.sparkSession).select("feature_name", F.lit(True).alias("known")))  # CATALOG, 1,720 rows
+    joined = found.join(named, "feature_name", "full_outer")
+    kind = F.when(F.col("known").isNull(), "unknown").when(F.col("n_rows").isNull(), "absent")
+    return joined.select("feature_name", kind.alias("difference"), F.coalesce("n_rows", F.lit(0).cast("long")).alias("n_rows")).where("difference is not null")
+
+
+class NotConformant(RuntimeError):
+    """A recomputed catalog that mustn't be published."""
+
+
+def refresh_features(builds: BuildCatalog, build_id: str, bars: DataFrame, fault: Callable[[str], None] = lambda step: None) -> str:
+    """Recomputes the whole catalog from ``bars`` and publishes it as the current build; returns its path.
+
+    What was written is verified before it is promoted, so it is computed once: keys, values, names and availability. If
+    anything is wrong, NotConformant; the build is then failed and the current one stays.
+    """
+    long = macro_features_long(bars)
+
+    def check(step: str) -> None:
+        if step == "written":
+            written = bars.sparkSession.read.schema(long.schema).parquet(f"{builds.root}/versions/build_id={build_id}")
+            rows = written.withColumnRenamed("feature_name", "feature").withColumn("series_id", F.lit(""))
+            report = verdicts({"rows": conformance_report(rows, [s.name for s in CATALOG]), "temporal": availability_differences(written), "catalog": catalog_parity(written).where("difference = 'unknown'")})
+            wrong = [r["check"] for r in report.where("verdict = 'FAIL' and check <> 'all'").collect()]
+            if wrong:
+                raise NotConformant(", ".join(sorted(wrong)))
+        fault(step)
+
+    return builds.publish(build_id, long, fault=check)

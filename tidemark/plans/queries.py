@@ -549,6 +549,16 @@ def value_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("largest_error", F.round("largest_error", 4))
 
 
+@register("catalog_parity", f"""WITH {_CATALOG_CTE}, x AS (SELECT CASE WHEN ends_with(feature_name, '_sma_ratio_5_15') THEN feature_name || '_old' ELSE feature_name END AS feature_name FROM c),
+known AS (SELECT feature_name FROM k UNION ALL SELECT unnest([{', '.join(f"'{n}'" for n in catalog.CROSS)}])), n AS (SELECT feature_name, count(*) AS n_rows FROM x GROUP BY feature_name)
+SELECT coalesce(n.feature_name, known.feature_name) AS feature_name, CASE WHEN known.feature_name IS NULL THEN 'unknown' ELSE 'absent' END AS difference, coalesce(n_rows, 0) AS n_rows
+FROM n FULL OUTER JOIN known ON n.feature_name = known.feature_name WHERE n.feature_name IS NULL OR known.feature_name IS NULL""")
+def catalog_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A published table in which one family has another name."""
+    name = F.col("feature_name")
+    return catalog.catalog_parity(macro_features_long(spark, sf_dir).select(F.when(name.endswith("_sma_ratio_5_15"), F.concat(name, F.lit("_old"))).otherwise(name).alias("feature_name")))
+
+
 @register("feature_histogram", f"""WITH {_CATALOG_CTE}, s AS (SELECT feature_name, min(value) AS lo, max(value) AS hi, count(*) AS n FROM c GROUP BY feature_name),
 w AS (SELECT feature_name, CASE WHEN lo = hi THEN lo - 0.5 ELSE lo END AS lo, CASE WHEN lo = hi THEN hi + 0.5 ELSE hi END AS hi, CAST(least(30, greatest(5, floor(sqrt(n)))) AS INTEGER) AS n_bins FROM s),
 p AS (SELECT feature_name, least(CAST(floor((value - lo) / (hi - lo) * n_bins) AS INTEGER), n_bins - 1) AS bin, n_bins, lo, hi FROM c JOIN w USING (feature_name))
