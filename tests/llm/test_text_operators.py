@@ -472,8 +472,8 @@ def plain_scores(t, m, y):
 
 def test_classifier_against_plain_co_training(spark, make_docs):
     rnd = np.random.default_rng(4)
-    rows = [(i, " ".join([junk(i), prose(i, 40)][:: (-1) ** i][: 1 + i % 2]) if rnd.random() < 0.9 else prose(i, 70), f"src{i % 3 if rnd.random() < 0.7 else 5}") for i in range(150)]
-    labels = [(i, int(rnd.random() < (0.15 if i % 4 == 0 else 0.85))) for i in range(60)]
+    rows = [(i, junk(i) if i % 3 == 0 else prose(i, 60 + i % 40), f"src{(i % 3 == 0) if rnd.random() < 0.95 else 5}") for i in range(240)]
+    labels = [(i, int((i % 3 != 0) ^ (rnd.random() < 0.02))) for i in range(120)]
     docs = make_docs(rows)
     found = {r["doc_id"]: r["score"] for r in cotraining.classify(docs, spark.createDataFrame(labels, "doc_id long, quality int")).collect()}
     table = docs.selectExpr("doc_id as id", "text", "source as m_0", "lang as m_1", "n_chars as m_2").toArrow().combine_chunks().to_batches()[0]
@@ -483,7 +483,7 @@ def test_classifier_against_plain_co_training(spark, make_docs):
     for i, good in labels:
         y[i] = good
     expected, taught = plain_scores(t, m, y)
-    assert all(taught) and np.allclose([found[i] for i in range(150)], expected, atol=2e-6)
+    assert all(taught) and np.allclose([found[i] for i in range(240)], expected, atol=2e-6)
 
 
 def test_views_teach_each_other():
