@@ -72,6 +72,8 @@ def test_only_listed_files_are_read(spark, tmp_path):
     rows.select("id").write.parquet(f"{folder}/k=1/s=q")
     rows.select("id", "s").write.parquet(f"{folder}/k=7")
     assert store.read("t", schema).count() == 30  # strays aren't
+    held = store.inventory().first()
+    assert (held["table"], held["n_parts"], held["n_rows"]) == ("t", 3, 30) and held["n_files"] == len(store.files("t").collect())
     assert store.read("t", schema, F.col("part").startswith("k=1/")).count() == 10
     store.commit({"t": (rows.where("k = 1").limit(1), ["k", "s"])}, emptied={"t": [store.files("t", "part like 'k=2/%'").first()["part"]]})
     assert sorted(r["k"] for r in store.read("t", schema).collect()) == [0] * 10 + [1]

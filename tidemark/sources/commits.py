@@ -127,3 +127,9 @@ class Commits:
                 files.unpersist()
         fault("manifest")
         return commit_id
+
+    def inventory(self) -> DataFrame:
+        """(table, n_parts, n_files, n_rows, last_commit_utc): what every table holds now, by the manifest alone."""
+        last = Window.partitionBy("table", "part").orderBy(F.desc("committed_at_utc"), F.desc("commit_id"))
+        now = self.manifest().withColumn("_place", F.dense_rank().over(last)).where("_place = 1 and file is not null")
+        return now.groupBy("table").agg(F.count_distinct("part").alias("n_parts"), F.count("*").alias("n_files"), F.sum("n_rows").alias("n_rows"), F.max("committed_at_utc").alias("last_commit_utc"))
