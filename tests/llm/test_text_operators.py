@@ -108,8 +108,7 @@ def test_propagation_lowers_the_cut(spark):
     assert sum(1 for g, _ in out if g[0] == "p") <= 230  # of 200 pairs, few are apart
 
 
-@pytest.mark.parametrize(("groups", "size"), [(1600, 2), (160, 20), (32, 100)])
-@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize(("groups", "size", "seed"), [(1600, 2, 1), (160, 20, 2), (32, 100, 1), (32, 100, 2)])
 def test_propagation_of_fully_linked_tables(spark, groups, size, seed):
     """All documents are linked and all shards are full; from random shards nearly all groups come together."""
     rnd = np.random.default_rng(seed)
