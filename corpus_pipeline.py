@@ -3,6 +3,10 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of documents. Stages
 keep rows as they are but for what they decide: line dedup rewrites text and n_chars of documents that lose lines and
 drops documents that lose all; the mix repeats a row as often as it takes it.
+
+Null, empty and wordless texts fail the base rules and go at the first stage; null sources are a source of their own. Rows
+without an id stay, as the near-duplicate stage can't name them, and of rows of one id and text one stays. Very long texts
+are taken whole. An empty table of documents gives an empty result; without labels the base rules alone reject.
 """
 
 from __future__ import annotations
@@ -51,8 +55,8 @@ STAGES = [
     ("best_fit_packing", pack),
 ]
 
-#: SQL can't express the learned rules, the sampling or the packing; tests hold the
-#: near-duplicate and mixing stages against brute force here, and the operators of the others in tests of their own.
+#: SQL can't express the learned rules, the sampling or the packing; tests hold the first three stages against brute force and
+#: the mix against its targets, and the packing in tests of its operator.
 ORACLE_SQL = None
 
 
