@@ -446,7 +446,16 @@ def row_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _digests(_sides(spark, sf_dir)[0])
 
 
-@register("row_digest_exact")
+def _framed_number(cell: str) -> str:
+    text = f"CASE WHEN {cell} = 0 THEN '0.0' ELSE CAST({cell} AS VARCHAR) END"
+    return f"'{len(cell)}:{cell}' || CASE WHEN {cell} IS NULL THEN 'N' ELSE 'F' || (1 + length({text})) || ':F' || {text} END"
+
+
+#: Numbers below 10^7, as prices are, have the same shortest text in both engines.
+_EXACT = f"sha256('9:series_id' || {_framed('S', 'series_id')} || '16:observation_date' || {_framed('D', 'observation_date')} || {' || '.join(map(_framed_number, ('open', 'high', 'low', 'close', 'level')))})"
+
+
+@register("row_digest_exact", f"WITH {O.BARS1} SELECT {O.KEYS}, {_EXACT} AS row_sha256 FROM b")
 def row_digest_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return delta.row_digest(bars_by_priority(spark, sf_dir), KEYS, ["open", "high", "low", "close", "level"])
 
